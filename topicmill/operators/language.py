@@ -23,7 +23,8 @@ class LanguageFilter:
 
     The model is a table of `languages x num_features` numbers whatever the
     corpus, so scoring is a narrow pass over the posts: no join, no shuffle.
-    Training is one aggregate per language.
+    Training is one aggregate per language; every task sends a dense vector per
+    language, so the scan is coalesced to a few tasks per core first.
     """
 
     def __init__(self, model: PipelineModel):
@@ -52,7 +53,8 @@ class LanguageFilter:
                 rawPredictionCol="_lang_raw",
             ),
         ]
-        return cls(Pipeline(stages=stages).fit(rows))
+        cores = labelled.sparkSession.sparkContext.defaultParallelism
+        return cls(Pipeline(stages=stages).fit(rows.coalesce(2 * cores)))
 
     @property
     def languages(self) -> list[str]:

@@ -57,9 +57,14 @@ def split_posts(
     train_share: float = C.TRAIN_SHARE,
     valid_share: float = C.VALID_SHARE,
 ) -> DataFrame:
-    """Add `split` by hashtag birthdays and drop posts that leak earlier hashtags."""
+    """Add `split` by hashtag birthdays and drop posts that leak earlier hashtags.
+
+    The ranked hashtags (one row per curated hashtag) are written once: the cut
+    times and the leakage guard then read that small table instead of walking
+    the posts again. `labelled` is read twice, so pass a staged table.
+    """
     birthdays = splitting.hashtag_birthdays(labelling.explode_hashtags(labelled), tags)
-    ranked = splitting.split_hashtags(birthdays, train_share, valid_share)
+    ranked = stage(splitting.split_hashtags(birthdays, train_share, valid_share), "hashtag_periods")
     cutoffs = splitting.split_cutoffs(ranked, train_share, valid_share)
     split = splitting.assign_split(labelled, cutoffs)
     guard = splitting.drop_leaking_by_row if unique_ids else splitting.drop_leaking
@@ -85,21 +90,16 @@ def feature_tables(
     unique_ids: bool = False,
     fit_on_train: bool = False,
     seed: int = 0,
-    keep_stages: bool = True,
 ) -> FeatureTables:
     """Parsed posts to sampled train and valid rows and unsampled test rows.
 
-    The cleaned, labelled posts and the split posts are written once and read
-    by every later step. Rows are sampled before they are vectorised, so the
-    bulk of the negatives is never turned into vectors. `fit_on_train` keeps
-    valid and test posts out of the vocabulary.
+    The cleaned, labelled posts, the split posts and both results are written
+    once and read by every later step. Rows are sampled before they are
+    vectorised, so the bulk of the negatives is never turned into vectors.
+    `fit_on_train` keeps valid and test posts out of the vocabulary.
     """
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        return stage(df, name) if keep_stages else df
-
-    labelled = kept(labelled_posts(posts, tags, unique_ids), "labelled_posts")
-    split = kept(split_posts(labelled, tags, unique_ids), "split_posts")
+    labelled = stage(labelled_posts(posts, tags, unique_ids), "labelled_posts")
+    split = stage(split_posts(labelled, tags, unique_ids), "split_posts")
     fitted_on = split.where(F.col("split") == "train") if fit_on_train else labelled
     model = feature_model(fitted_on, min_df, vocab_size)
 
@@ -112,12 +112,13 @@ def feature_tables(
     train = stratified_sample(part("train"), train_fractions or C.TRAIN_FRACTIONS, seed=seed)
     valid = stratified_sample(part("valid"), valid_fractions or C.VALID_FRACTIONS, seed=seed)
     combined = splitting.tag_and_union({"train": assembled(train), "valid": assembled(valid)})
+    combined = stage(combined, "combined")
 
     test = model.transform(part("test"))
     compared = [f"{b}_features" for b in C.DEDUP_BLOCKS if f"{b}_features" in test.columns]
     columns = ["tweet_id", "create_time", "features", "label", *compared]
     unique_test = splitting.drop_duplicate_content(test.select(*columns), compared)
-    return FeatureTables(combined, unique_test.drop(*compared), model)
+    return FeatureTables(combined, stage(unique_test.drop(*compared), "test"), model)
 
 
 def tune(

@@ -44,6 +44,11 @@ def cleaned(spark, sf_dir):
     return clean_posts(posts(spark, sf_dir))
 
 
+def staged_posts(spark, sf_dir):
+    """Cleaned posts, written once for queries that read them more than once."""
+    return stage(cleaned(spark, sf_dir), "cleaned_posts")
+
+
 def tags(spark, sf_dir):
     return topic_tags(testdata.topic_hashtags(posts(spark, sf_dir)), "t1")
 
@@ -126,7 +131,7 @@ def parse_created_at(spark, sf_dir):
 
 
 def lang_filter(spark, sf_dir):
-    docs = testdata.table(spark, sf_dir, "documents")
+    docs = testdata.spread(testdata.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     model = LanguageFilter.train(docs, "text", "lang")
     return model.keep(docs, "en", "text").select("doc_id", "lang")
 
@@ -195,7 +200,7 @@ def label_topic_by_row(spark, sf_dir):
 
 
 def labelled_hashtags(spark, sf_dir):
-    table = _labelled(spark, sf_dir)
+    table = stage(_labelled(spark, sf_dir).select("tweet_id", "create_time", "hashtag", "label"), "labelled_hashtags")
     topical = table.where(F.col("label") == 1.0)
     exploded = labelling.restrict_to_labelled(labelling.explode_hashtags(table), topical)
     return exploded.groupBy("each_hashtag").agg(F.count("*").alias("use_count"))
@@ -217,31 +222,42 @@ def split_cutoffs(spark, sf_dir):
     return splitting.split_cutoffs(split_hashtags(spark, sf_dir))
 
 
-def _split(spark, sf_dir):
-    return splitting.assign_split(_labelled(spark, sf_dir), split_cutoffs(spark, sf_dir))
+def _split_tables(spark, sf_dir):
+    """Labelled posts with their split, and the ranked hashtags.
+
+    A narrow table without the text, and the topic's few hashtags, are written
+    once; all later steps read these instead of the posts.
+    """
+    narrow = cleaned(spark, sf_dir).select("tweet_id", "create_time", "hashtag")
+    fact = stage(narrow, "post_hashtags")
+    topic = stage(tags(spark, sf_dir), "topic_tags")
+    exploded = labelling.explode_hashtags(fact)
+    ranked = stage(splitting.split_hashtags(splitting.hashtag_birthdays(exploded, topic)), "hashtag_periods")
+    labelled = labelling.label_posts(fact, labelling.topical_ids(exploded, topic))
+    return splitting.assign_split(labelled, splitting.split_cutoffs(ranked)), ranked
 
 
 def temporal_split(spark, sf_dir):
-    return _split(spark, sf_dir).select("tweet_id", "create_time", "split")
+    return _split_tables(spark, sf_dir)[0].select("tweet_id", "create_time", "split")
 
 
 def split_counts(spark, sf_dir):
-    return _split(spark, sf_dir).groupBy("split").agg(F.count("*").alias("row_count"))
+    return _split_tables(spark, sf_dir)[0].groupBy("split").agg(F.count("*").alias("row_count"))
 
 
 def leakage_anti_join(spark, sf_dir):
-    kept = splitting.drop_leaking(_split(spark, sf_dir), split_hashtags(spark, sf_dir))
+    kept = splitting.drop_leaking(*_split_tables(spark, sf_dir))
     return kept.select("tweet_id", "split", "label")
 
 
 def leakage_by_row(spark, sf_dir):
-    kept = splitting.drop_leaking_by_row(_split(spark, sf_dir), split_hashtags(spark, sf_dir))
+    kept = splitting.drop_leaking_by_row(*_split_tables(spark, sf_dir))
     return kept.select("tweet_id", "split", "label")
 
 
 def positive_counts(spark, sf_dir):
     """The flagship: posts to counted, leakage-free splits."""
-    return splitting.split_counts(flow.split_posts(_labelled(spark, sf_dir), tags(spark, sf_dir)))
+    return splitting.split_counts(splitting.drop_leaking(*_split_tables(spark, sf_dir)))
 
 
 def dedup_content(spark, sf_dir):
@@ -250,7 +266,7 @@ def dedup_content(spark, sf_dir):
 
 
 def union_typed(spark, sf_dir):
-    kept = splitting.drop_leaking(_split(spark, sf_dir), split_hashtags(spark, sf_dir))
+    kept = splitting.drop_leaking(*_split_tables(spark, sf_dir))
     parts = {s: kept.where(F.col("split") == s).select("tweet_id", "label") for s in ("train", "valid")}
     return splitting.tag_and_union(parts)
 
@@ -283,21 +299,22 @@ def feature_names(spark, sf_dir):
 
 
 def count_vectors(spark, sf_dir):
-    table = cleaned(spark, sf_dir)
+    table = staged_posts(spark, sf_dir)
     model = feats.feature_model(table, MIN_DF, blocks=["term"], assemble=False)
     return feats.long_counts(model.transform(table), "term_features")
 
 
 def assemble_vectors(spark, sf_dir):
-    table = cleaned(spark, sf_dir)
+    table = staged_posts(spark, sf_dir)
     model = feats.feature_model(table, MIN_DF)
     long = feats.long_counts(model.transform(table), "features")
     return long.withColumnRenamed("idx", "global_idx")
 
 
 def join_feature_blocks(spark, sf_dir):
-    table = cleaned(spark, sf_dir)
+    table = staged_posts(spark, sf_dir)
     vectors = feats.feature_model(table, MIN_DF, assemble=False).transform(table)
+    vectors = stage(vectors.select("tweet_id", *[f"{b}_features" for b in feats.BLOCKS]), "feature_blocks")
     blocks = []
     for block in feats.BLOCKS:
         entries = feats.vector_entries(F.col(f"{block}_features"))
@@ -309,15 +326,16 @@ def join_feature_blocks(spark, sf_dir):
 
 
 def features_with_label(spark, sf_dir):
-    table = cleaned(spark, sf_dir)
+    table = stage(cleaned(spark, sf_dir).select("tweet_id", "create_time", "hashtag"), "post_hashtags")
     model = feats.feature_model(table, MIN_DF, blocks=["hashtag"], assemble=False)
-    labels = label_topic(spark, sf_dir)
+    topic = tags(spark, sf_dir)
+    labels = labelling.label_posts(table, labelling.topical_ids(labelling.explode_hashtags(table), topic))
     joined = feats.with_labels(model.transform(table).select("tweet_id", "hashtag_features"), labels)
     return feats.long_counts(joined, "hashtag_features", "tweet_id", "label")
 
 
 def _chi_square(spark, sf_dir):
-    table = _labelled(spark, sf_dir)
+    table = stage(_labelled(spark, sf_dir).select("term", "label"), "labelled_terms")
     model = feats.feature_model(table, MIN_DF, blocks=["term"], assemble=False)
     counts = feats.long_counts(model.transform(table), "term_features", "label")
     return selection.chi_square_scores(counts, table)
@@ -398,7 +416,7 @@ def predictions_with_text(spark, sf_dir):
 
 
 def cv_summary(spark, sf_dir):
-    combined = stage(_tables(spark, sf_dir).combined, "combined")
+    combined = _tables(spark, sf_dir).combined
     _, tuner = flow.tune(combined, [20, 100], [0.1, 1.0], [5], num_folds=2)
     summary = learning.summarise(tuner.metrics_table(spark))
     best = learning.best_params(summary).scalar()

@@ -8,14 +8,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+SKEW_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even where that costs one more exchange
     # further up: a hot id or hashtag must not end up in a single task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+SETTINGS = SKEW_SETTINGS | {
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -29,6 +32,12 @@ def build_session(app_name: str = "topicmill", **overrides: str) -> SparkSession
     return builder.getOrCreate()
 
 
+def apply_skew_settings(spark: SparkSession) -> None:
+    """Turn on skew handling in a session somebody else built."""
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 @functools.cache
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="topicmill-")
