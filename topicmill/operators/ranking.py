@@ -24,7 +24,7 @@ def _score_buckets(rows: DataFrame, score_col: str, buckets: int) -> DataFrame:
     the same totals; good ones only even out the tasks.
     """
     probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = rows.approxQuantile(score_col, probabilities, 1.0 / (4 * buckets))
+    cuts = rows.approxQuantile(score_col, probabilities, 1.0 / (4 * buckets)) if probabilities else []
     inner = sorted({c for c in cuts if c not in (float("-inf"), float("inf"))})
     splits = [float("-inf"), *inner, float("inf")]
     if len(splits) < 3:
