@@ -1,16 +1,16 @@
 """Every registered query against its SQL on the smallest scale."""
 
 import re
+from pathlib import Path
 
 import duckdb
 import pytest
-from pathlib import Path
 
 import __spark_entry__ as contract
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
-ROWS_ONLY = {"lang_filter", "train_score", "rank_predictions", "predictions_with_text", "cv_summary"}
+ROWS_ONLY = {"train_score", "rank_predictions", "predictions_with_text", "cv_summary"}
 
 
 @pytest.fixture(scope="module")
@@ -42,7 +42,7 @@ def test_query_equals_sql(spark, con, name):
     assert records and ordered(records, df.columns) == ordered(result.fetchall(), columns)
 
 
-@pytest.mark.parametrize("name", ["lang_filter", "cv_summary", "predictions_with_text"])
+@pytest.mark.parametrize("name", ["cv_summary", "predictions_with_text"])
 def test_rows_only_queries(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 

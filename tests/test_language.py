@@ -1,7 +1,15 @@
+import pandas as pd
 import pytest
 from conftest import plan_of
 
-from topicmill.operators.language import LanguageFilter
+from topicmill.operators.language import (
+    BUCKETS,
+    STEP,
+    TEXTS,
+    LanguageFilter,
+    trigram_buckets,
+    trigram_counts,
+)
 from topicmill.session import stage
 from topicmill.sources.testdata import table
 
@@ -39,8 +47,22 @@ def test_languages_are_restricted(spark):
     assert LanguageFilter.train(docs, "text", "lang", ["en", "de"]).languages == ["de", "en"]
 
 
+def test_trigrams_do_not_cross_texts():
+    buckets, owner = trigram_buckets(pd.Series(["abcd", "", "ab", "xyz"]))
+    assert owner.tolist() == [0, 0, 3]
+    assert buckets[0] == (97 * STEP * STEP + 98 * STEP + 99) % BUCKETS
+    assert trigram_buckets(pd.Series([], dtype=object))[0].size == 0
+
+
+def test_counts_are_whole(spark):
+    rows = spark.createDataFrame([("en", "aaaa"), ("en", None), ("de", "ab"), ("xx", "zzz")], "lang string, text string")
+    counts = {(r.lang, r.bucket): r.cnt for r in trigram_counts(rows.repartition(4), "text", "lang", ["en", "de"]).collect()}
+    a = (97 * STEP * STEP + 97 * STEP + 97) % BUCKETS
+    assert counts == {("en", a): 2, ("en", TEXTS): 2, ("de", TEXTS): 1}
+
+
 def test_save_and_load(spark, trained, tmp_path):
-    trained.save(str(tmp_path / "m"))
-    again = LanguageFilter.load(str(tmp_path / "m"))
+    trained.save(spark, str(tmp_path / "m"))
+    again = LanguageFilter.load(spark, str(tmp_path / "m"))
     rows = spark.createDataFrame([("the and of that with",)], "text string")
     assert again.detect(rows, "text").collect() == trained.detect(rows, "text").collect()

@@ -2,33 +2,97 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, NGram, StringIndexer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicmill.constants import LANGUAGES
 
+# The batch functions below travel with the job: executors need numpy and
+# pandas, but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# A trigram of code points (a, b, c) falls into bucket
+# (a * STEP * STEP + b * STEP + c) mod BUCKETS.
+BUCKETS = 65521
+STEP = 1031
+
+COUNTS_SCHEMA = "lang string, bucket int, cnt long"
+# Rows of this bucket hold a language's number of texts.
+TEXTS = -1
+
+
+def trigram_buckets(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all trigrams of a batch, and the position of each one's text."""
+    encoded = [t.encode("utf-32-le", "surrogatepass") for t in texts]
+    owner = np.repeat(np.arange(len(encoded)), [len(e) // 4 for e in encoded])
+    codes = np.frombuffer(b"".join(encoded), dtype="<u4").astype(np.int64)
+    if len(codes) < 3:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    within = owner[2:] == owner[:-2]
+    buckets = (codes[:-2] * STEP * STEP + codes[1:-1] * STEP + codes[2:]) % BUCKETS
+    return buckets[within], owner[:-2][within]
+
+
+def _text(column: str) -> Column:
+    return F.lower(F.coalesce(F.col(column), F.lit("")))
 
-def _characters(text: Column) -> Column:
-    # Splitting once is linear in the text; cutting substrings by position
-    # would walk the text from its start every time.
-    return F.split(F.lower(F.coalesce(text, F.lit(""))), "")
+
+def trigram_counts(labelled: DataFrame, text_col: str, lang_col: str, languages: list[str]) -> DataFrame:
+    """`(lang, bucket, cnt)` over all texts, plus the number of texts per language.
+
+    A task adds up one fixed table of languages by buckets and sends its
+    non-zero cells, so the exchange does not grow with the length of the texts.
+    The scan is coalesced to a few tasks per core to keep such tables few.
+    """
+    known = labelled.where(F.col(lang_col).isin(languages))
+    rows = known.select(F.col(lang_col).alias("lang"), _text(text_col).alias("text"))
+    place = {name: i for i, name in enumerate(languages)}
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cells = np.zeros(len(languages) * BUCKETS, np.int64)
+        texts = np.zeros(len(languages), np.int64)
+        for batch in batches:
+            lang = batch["lang"].map(place).to_numpy(np.int64)
+            buckets, owner = trigram_buckets(batch["text"])
+            cells += np.bincount(lang[owner] * BUCKETS + buckets, minlength=len(cells))
+            texts += np.bincount(lang, minlength=len(texts))
+        names = np.array(languages, dtype=object)
+        seen = np.flatnonzero(cells)
+        yield pd.DataFrame({"lang": names[seen // BUCKETS], "bucket": seen % BUCKETS, "cnt": cells[seen]})
+        yield pd.DataFrame({"lang": names, "bucket": TEXTS, "cnt": texts})
+
+    cores = labelled.sparkSession.sparkContext.defaultParallelism
+    partial = rows.coalesce(2 * cores).mapInPandas(count, COUNTS_SCHEMA)
+    return partial.groupBy("lang", "bucket").agg(F.sum("cnt").alias("cnt")).where("cnt > 0")
 
 
 class LanguageFilter:
     """Learns from rows with a known language, then keeps posts of one language.
 
-    The model is a table of `languages x num_features` numbers whatever the
-    corpus, so scoring is a narrow pass over the posts: no join, no shuffle.
-    Training is one aggregate per language; every task sends a dense vector per
-    language, so the scan is coalesced to a few tasks per core first.
+    The model is a table of `languages x BUCKETS` numbers whatever the corpus,
+    so it is broadcast and scoring is a narrow pass over the posts: no join, no
+    shuffle. Only the text column visits Python, in Arrow batches, and one
+    string per post comes back. (Built-in operators would need a row or a string
+    object per character, and a shuffle to add them up again.)
     """
 
-    def __init__(self, model: PipelineModel):
-        self.model = model
+    def __init__(self, counts: pd.DataFrame):
+        self.counts = table = counts  # at most languages x (BUCKETS + 1) rows
+        texts = table[table["bucket"] == TEXTS].set_index("lang")["cnt"]
+        self.languages: list[str] = sorted(texts.index)
+        place = {name: i for i, name in enumerate(self.languages)}
+        grams = table[table["bucket"] != TEXTS]
+        cells = np.ones((len(self.languages), BUCKETS))  # one more than seen, for unseen trigrams
+        cells[grams["lang"].map(place), grams["bucket"]] += grams["cnt"]
+        prior = np.array([texts[name] for name in self.languages], dtype=float)
+        self._log_prior = np.log(prior / prior.sum())
+        self._log_cells = np.log(cells / cells.sum(axis=1, keepdims=True))
 
     @classmethod
     def train(
@@ -37,48 +101,34 @@ class LanguageFilter:
         text_col: str = "term",
         lang_col: str = "lang",
         languages: list[str] | None = None,
-        num_features: int = 1 << 16,
     ) -> LanguageFilter:
-        known = labelled.where(F.col(lang_col).isin(languages or LANGUAGES))
-        rows = known.select(F.col(lang_col).alias("_lang"), _characters(F.col(text_col)).alias("_chars"))
-        stages = [
-            StringIndexer(inputCol="_lang", outputCol="_lang_idx", stringOrderType="alphabetAsc"),
-            NGram(n=3, inputCol="_chars", outputCol="_grams"),
-            HashingTF(numFeatures=num_features, inputCol="_grams", outputCol="_gram_counts"),
-            NaiveBayes(
-                featuresCol="_gram_counts",
-                labelCol="_lang_idx",
-                predictionCol="_lang_pred",
-                probabilityCol="_lang_prob",
-                rawPredictionCol="_lang_raw",
-            ),
-        ]
-        cores = labelled.sparkSession.sparkContext.defaultParallelism
-        return cls(Pipeline(stages=stages).fit(rows.coalesce(2 * cores)))
-
-    @property
-    def languages(self) -> list[str]:
-        return list(self.model.stages[0].labels)
+        return cls(trigram_counts(labelled, text_col, lang_col, languages or LANGUAGES).toPandas())
 
     def detect(self, posts: DataFrame, text_col: str = "term", output_col: str = "detected_lang") -> DataFrame:
-        """Add the most likely language and its probability."""
-        scored = posts.withColumn("_chars", _characters(F.col(text_col)))
-        for stage in self.model.stages[1:]:
-            scored = stage.transform(scored)
-        names = F.array(*[F.lit(name) for name in self.languages])
-        return (
-            scored.withColumn(output_col, F.get(names, F.col("_lang_pred").cast("int")))
-            .withColumn(f"{output_col}_prob", F.array_max(vector_to_array("_lang_prob")))
-            .select(*posts.columns, output_col, f"{output_col}_prob")
-        )
+        """Add the most likely language; equal scores go by language code."""
+        shared = posts.sparkSession.sparkContext.broadcast((self.languages, self._log_prior, self._log_cells))
+
+        @F.pandas_udf("string")
+        def most_likely(texts: pd.Series) -> pd.Series:
+            languages, log_prior, log_cells = shared.value
+            buckets, owner = trigram_buckets(texts)
+            scores = [
+                prior + np.bincount(owner, weights=cells[buckets], minlength=len(texts))
+                for prior, cells in zip(log_prior, log_cells)
+            ]
+            return pd.Series(np.array(languages, dtype=object)[np.argmax(scores, axis=0)])
+
+        # Called non-deterministic so that a filter on the result is not moved
+        # below an exchange that spreads the rows, or evaluated a second time.
+        return posts.withColumn(output_col, most_likely.asNondeterministic()(_text(text_col)))
 
     def keep(self, posts: DataFrame, lang: str = "en", text_col: str = "term") -> DataFrame:
         """Posts detected as `lang`, columns unchanged."""
         return self.detect(posts, text_col).where(F.col("detected_lang") == lang).select(*posts.columns)
 
-    def save(self, path: str) -> None:
-        self.model.write().overwrite().save(path)
+    def save(self, spark: SparkSession, path: str, mode: str = "errorifexists") -> None:
+        spark.createDataFrame(self.counts, COUNTS_SCHEMA).write.mode(mode).parquet(path)
 
     @classmethod
-    def load(cls, path: str) -> LanguageFilter:
-        return cls(PipelineModel.load(path))
+    def load(cls, spark: SparkSession, path: str) -> LanguageFilter:
+        return cls(spark.read.schema(COUNTS_SCHEMA).parquet(path).toPandas())
