@@ -1,9 +1,14 @@
+from collections import Counter
+
 import pytest
 from conftest import plan_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import functions as F
 
+from topicmill.functions import tokens, without_stop_words
 from topicmill.functions.vectors import vector_entries
 from topicmill.operators import features as feats
 from topicmill.session import stage
@@ -34,13 +39,26 @@ def test_empty_token_counts_as_a_token(posts):
 
 
 def test_vocabulary_equals_count_vectorizer(posts):
-    words = posts.select(feats.block_tokens("term").alias("w"))
+    words = posts.select(without_stop_words(tokens("term")).alias("w"))
     for least in (1, 2):
         model = CountVectorizer(inputCol="w", outputCol="v", minDF=least).fit(words)
         found = feats.fit_vocabularies(posts, {"term": least}, blocks=["term"]).collect()
         assert {r.token for r in found} == set(model.vocabulary)
 
 
+WORDS = st.lists(st.sampled_from(["a", "b", "B", "é", "zz", "the", "not"]), max_size=12)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(WORDS, min_size=1, max_size=5))
+def test_statistics_equal_a_count(spark, make_posts, lists):
+    found = feats.token_statistics(make_posts([(i, 0, "", " ".join(x)) for i, x in enumerate(lists)]), ["term"])
+    texts = [" ".join(x).lower().split(" ") for x in lists]
+    tf, df = Counter(sum(texts, [])), Counter(sum((list(set(t)) for t in texts), []))
+    kept = set(tf) - {"a", "the", "not"}
+    assert {r.token: (r.df, r.tf) for r in found.collect()} == {t: (df[t], tf[t]) for t in kept}
+
+
 @pytest.mark.parametrize("cap", [1, 2, 3, 7, 40, 1000])
 def test_cap_keeps_the_most_frequent(spark, make_posts, cap):
     # Frequencies on both sides of the last exact histogram bin, with ties.
@@ -57,7 +75,7 @@ def test_all_blocks_in_one_pass(posts):
     staged = stage(posts, "p")
     plan = plan_of(feats.token_statistics(staged))
     assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
-    assert "partial_sum" in plan
+    assert "partial_count" in plan and "lambda" not in plan
 
 
 def test_histogram_reuses_the_counts(posts):
@@ -84,6 +102,17 @@ def test_model_counts_and_assembly(spark, posts, tmp_path):
     assert {r.tweet_id: r.features for r in again} == {k: r.features for k, r in rows.items()}
 
 
+def test_count_model_equals_from_vocabulary(spark):
+    df = spark.createDataFrame([(["", "a", "é", "a", "zz", "no"],), ([],)], "t array<string>")
+    words = ["a", "", "zz", "é"]
+    ours = feats.count_model(words, "t", "v")
+    theirs = CountVectorizerModel.from_vocabulary(words, inputCol="t", outputCol="v")
+    assert ours.vocabulary == words and ours.transform(df).collect() == theirs.transform(df).collect()
+    assert feats.count_model([""], "t", "v").vocabulary == [""]
+    with pytest.raises(ValueError):
+        feats.count_model([], "t", "v")
+
+
 def test_block_without_tokens_is_left_out(posts):
     model = feats.feature_model(posts, ALL | {"mention": 10_000, "user": 10_000})
     columns = model.transform(posts).columns

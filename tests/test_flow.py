@@ -35,6 +35,7 @@ def test_feature_tables(spark):
     assert sorted(by_id.combined.collect()) == sorted(by_row.combined.collect())
     assert by_id.combined.columns == ["tweet_id", "create_time", "features", "label", "type"]
     assert by_id.test.columns == ["tweet_id", "create_time", "features", "label"]
+    assert by_id.combined.schema["features"].metadata == {} == by_id.test.schema["features"].metadata
     assert {r.type for r in by_id.combined.select("type").distinct().collect()} <= {"train", "valid"}
     train_ids = {r.tweet_id for r in by_id.combined.collect()}
     assert not train_ids & {r.tweet_id for r in by_id.test.collect()}

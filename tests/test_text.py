@@ -1,8 +1,4 @@
-from collections import Counter
-
 import pytest
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
@@ -13,7 +9,6 @@ from topicmill.functions import (
     clean_term,
     created_at_seconds,
     strip_urls,
-    token_counts,
     tokens,
     without_stop_words,
     year_month,
@@ -92,14 +87,6 @@ def test_stop_words_equal_remover(spark):
     assert StopWordsRemover.loadDefaultStopWords("english") == STOP_WORDS
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.lists(st.sampled_from(["", "a", "b", "B", "é", "zz"]), max_size=12), min_size=1, max_size=5))
-def test_token_counts(spark, lists):
-    df = spark.createDataFrame([(x,) for x in lists], "t array<string>")
-    found = [{e["token"]: e["cnt"] for e in row["c"]} for row in token_counts(df, {"t": "c"}).collect()]
-    assert found == [dict(Counter(x)) for x in lists]
-
-
 @pytest.mark.parametrize(
     "stamp, expected",
     [

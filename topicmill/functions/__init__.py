@@ -6,7 +6,6 @@ from topicmill.functions.text import (
     clean_term,
     remove_marked,
     strip_urls,
-    token_counts,
     tokens,
     without_stop_words,
 )
@@ -23,7 +22,6 @@ __all__ = [
     "positive_score",
     "remove_marked",
     "strip_urls",
-    "token_counts",
     "tokens",
     "uniform_from_id",
     "vector_entries",

@@ -1,9 +1,9 @@
 """Reading pyspark.ml vectors with column expressions."""
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.ml.linalg import VectorUDT
 
 
 def vector_entries(vector: Column) -> Column:
@@ -20,6 +20,16 @@ def vector_entries(vector: Column) -> Column:
     return F.filter(entries, lambda e: e["value"] != 0.0)
 
 
+def bare(column: str) -> Column:
+    """The column without ML attributes.
+
+    Count models and assemblers describe every feature in the column's metadata.
+    With a large vocabulary that is megabytes, copied into every plan and every
+    parquet footer, and nothing here reads it: names come from `feature_names`.
+    """
+    return F.col(column).alias(column, metadata={})
+
+
 def positive_score(df: DataFrame, score_col: str) -> Column:
     """A scalar score: element 1 of a probability vector, else the column."""
     if isinstance(df.schema[score_col].dataType, VectorUDT):

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicmill import constants as C
+from topicmill.functions.vectors import bare
 from topicmill.learning import ChiSquareTopFeatures, FixedValidationTuner, RankingEvaluator, default_grid
 from topicmill.operators import labelling, splitting
 from topicmill.operators.cleaning import clean_posts
@@ -107,7 +108,7 @@ def feature_tables(
         return split.where(F.col("split") == name)
 
     def assembled(df: DataFrame) -> DataFrame:
-        return model.transform(df).select("tweet_id", "create_time", "features", "label")
+        return model.transform(df).select("tweet_id", "create_time", bare("features"), "label")
 
     train = stratified_sample(part("train"), train_fractions or C.TRAIN_FRACTIONS, seed=seed)
     valid = stratified_sample(part("valid"), valid_fractions or C.VALID_FRACTIONS, seed=seed)
@@ -116,7 +117,7 @@ def feature_tables(
 
     test = model.transform(part("test"))
     compared = [f"{b}_features" for b in C.DEDUP_BLOCKS if f"{b}_features" in test.columns]
-    columns = ["tweet_id", "create_time", "features", "label", *compared]
+    columns = ["tweet_id", "create_time", bare("features"), "label", *[bare(c) for c in compared]]
     unique_test = splitting.drop_duplicate_content(test.select(*columns), compared)
     return FeatureTables(combined, stage(unique_test.drop(*compared), "test"), model)
 

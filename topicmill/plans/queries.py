@@ -20,6 +20,7 @@ from topicmill.functions import (
     tokens,
     without_stop_words,
 )
+from topicmill.functions.vectors import bare
 from topicmill.operators import features as feats
 from topicmill.operators import labelling, parsing, ranking, sampling, selection, splitting
 from topicmill.operators.cleaning import clean_posts
@@ -314,7 +315,7 @@ def assemble_vectors(spark, sf_dir):
 def join_feature_blocks(spark, sf_dir):
     table = staged_posts(spark, sf_dir)
     vectors = feats.feature_model(table, MIN_DF, assemble=False).transform(table)
-    vectors = stage(vectors.select("tweet_id", *[f"{b}_features" for b in feats.BLOCKS]), "feature_blocks")
+    vectors = stage(vectors.select("tweet_id", *[bare(f"{b}_features") for b in feats.BLOCKS]), "feature_blocks")
     blocks = []
     for block in feats.BLOCKS:
         entries = feats.vector_entries(F.col(f"{block}_features"))
