@@ -16,6 +16,11 @@ SMALL = {
 }
 
 
+def final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
 @pytest.fixture
 def small_partitions(spark):
     for key, value in SMALL.items():
@@ -51,9 +56,7 @@ def test_label_join_splits_a_hot_id(spark, posts, small_partitions):
     positives, rows = labelled.agg(F.sum("label"), F.count("*")).first()
     expected = posts.where("hashtag in ('h1', 'hot')").count()
     assert (positives, rows) == (expected, 60_000)
-    labelled.collect()
-    final = labelled._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "skew=true" in final
+    assert "skew=true" in final_plan(labelled)
 
 
 def test_birthdays_of_a_hot_hashtag(spark, posts, small_partitions):
@@ -65,7 +68,9 @@ def test_birthdays_of_a_hot_hashtag(spark, posts, small_partitions):
 def test_leakage_guard_with_hot_id_and_hashtag(spark, posts, small_partitions):
     ranked = spark.createDataFrame([("hot", "train"), ("h2", "valid")], "each_hashtag string, split string")
     split = posts.withColumn("split", F.when(F.col("create_time") < 30_000, "valid").otherwise("test"))
-    kept = splitting.drop_leaking(split, ranked).groupBy("split").count().collect()
+    guarded = splitting.drop_leaking(split, ranked)
+    assert "skew=true" in final_plan(guarded)
+    kept = guarded.groupBy("split").count().collect()
     expected = split.where("not (hashtag = 'hot' or (split = 'test' and hashtag = 'h2'))").groupBy("split").count()
     assert {tuple(r) for r in kept} == {tuple(r) for r in expected.collect()}
 

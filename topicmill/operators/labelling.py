@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicmill.functions.text import tokens
+from topicmill.session import stage
 
 
 def explode_hashtags(posts: DataFrame, *keep: str) -> DataFrame:
@@ -26,10 +27,15 @@ def topical_ids(exploded: DataFrame, tags: DataFrame) -> DataFrame:
 def label_posts(posts: DataFrame, ids: DataFrame) -> DataFrame:
     """Distinct posts with `label` 1.0 if their id is topical, else 0.0.
 
-    One exchange of the posts: rows that are equal share their id, so the
-    distinct reuses the join's partitioning by id.
+    The ids are written first. Their measured size then lets the planner
+    broadcast them, which spares moving the posts for the join; and where it
+    cannot, a hot id is split, which the adaptive planner does only for a join
+    of plain exchanges (an aggregate on one side rules it out). Posts are
+    exchanged once: equal rows share their id, so the distinct reuses the
+    join's partitioning.
     """
-    marked = posts.join(ids.select("tweet_id", F.lit(1).alias("topical")), "tweet_id", "left")
+    marks = stage(ids, "topical_ids").withColumn("topical", F.lit(1))
+    marked = posts.join(marks, "tweet_id", "left")
     label = F.when(F.col("topical") == 1, 1.0).otherwise(0.0).alias("label")
     return marked.select(*[c for c in posts.columns], label).distinct()
 

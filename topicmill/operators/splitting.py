@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from topicmill.constants import TRAIN_SHARE, VALID_SHARE
 from topicmill.functions.text import tokens
 from topicmill.functions.vectors import vector_entries
+from topicmill.session import stage
 
 
 def hashtag_birthdays(exploded: DataFrame, tags: DataFrame) -> DataFrame:
@@ -95,8 +96,12 @@ def leaking_ids(posts: DataFrame, ranked: DataFrame) -> DataFrame:
 
 
 def drop_leaking(posts: DataFrame, ranked: DataFrame) -> DataFrame:
-    """Remove leaking posts by id, as an anti join; nothing is collected."""
-    return posts.join(leaking_ids(posts, ranked), ["tweet_id", "split"], "left_anti")
+    """Remove leaking posts by id, as an anti join; nothing is collected.
+
+    The leaking ids are written first, for the reasons given in `label_posts`.
+    """
+    leaking = stage(leaking_ids(posts, ranked), "leaking_ids")
+    return posts.join(leaking, ["tweet_id", "split"], "left_anti")
 
 
 def drop_leaking_by_row(posts: DataFrame, ranked: DataFrame) -> DataFrame:

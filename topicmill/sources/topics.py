@@ -18,5 +18,8 @@ def topics_from_mapping(spark: SparkSession, mapping: dict[str, list[str]]) -> D
 
 
 def topic_tags(topics: DataFrame, topic: str) -> DataFrame:
-    """The distinct hashtags of one topic, column `each_hashtag`."""
-    return topics.where(F.col("topic") == topic).select(F.col("hashtag").alias("each_hashtag")).distinct()
+    """The hashtags of one topic, column `each_hashtag`.
+
+    Repeats do no harm: the hashtags only enter semi joins and sets.
+    """
+    return topics.where(F.col("topic") == topic).select(F.col("hashtag").alias("each_hashtag"))
