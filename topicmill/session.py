@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,22 +36,12 @@ def apply_skew_settings(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="topicmill-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it.
-
-    Only a local session without the setting gets a temporary folder.
+    """The folder all executors share: the one the cluster names for
+    checkpoints, or else one below the warehouse. Same rule for every master.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if spark.sparkContext.master.startswith("local"):
-        return _local_scratch()
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
