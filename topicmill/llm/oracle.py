@@ -65,4 +65,50 @@ from sized d join lefts l on d.source is not distinct from l.source
 left join cuts c on d.source is not distinct from c.source
 """
 
-ORACLE = {"op9_warc": OP9, "op10_mixing": OP10}
+OP3 = r"""
+with recursive own as (
+  select page_id, url, html,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path
+  from pages),
+ruled as (
+  select *, case
+    when (host = 'example.net' or host like '%.example.net') and starts_with(path, '/en/') then 'example.net/en/'
+    when (host = 'example.com' or host like '%.example.com') and starts_with(path, '/de/') then 'example.com/de/'
+    when (host = 'org' or host like '%.org') and starts_with(path, '/fr/') then 'org/fr/'
+    when (host = 'net' or host like '%.net') and starts_with(path, '/') then 'net/' end as rule
+  from own),
+named as (
+  select *, case when rule in ('example.net/en/', 'org/fr/') then 'allow' when rule is not null then 'block' end as decided,
+    case when html like '%anonical%' then nullif(regexp_extract(html,
+      '(?is)<link[^>]*rel\s*=\s*["'']?canonical[^>]*href\s*=\s*["'']?([^"''\s>]+)', 1), '') end as canonical,
+    case when html like '%efresh%' then nullif(regexp_extract(html,
+      '(?is)<meta[^>]*http-equiv\s*=\s*["'']?refresh[^>]*content\s*=\s*["''][^"''>]*?url\s*=\s*([^"''\s>]+)', 1), '') end as target
+  from ruled),
+links as (
+  select url, unnest([url, canonical, target]) as link, host from named),
+full_links as (
+  select url, case when contains(link, '://') then link when starts_with(link, '//') then 'http:' || link
+    when starts_with(link, '/') then 'http://' || host || link end as link from links),
+parts as (
+  select url, regexp_replace(translate(regexp_extract(link, '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^(www|m)\.([^.]+\.)', '') as host,
+    regexp_replace(regexp_extract(link, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '/+$', '') as path,
+    array_to_string(list_filter(string_split(regexp_extract(link, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'),
+      lambda f: not regexp_matches(f, '^(utm_[^=&]*|ref)(=.*)?$')), '&') as query
+  from full_links where link is not null),
+edges as (
+  select distinct 'u ' || url as a, 'p ' || host || path || case when query <> '' then '?' || query else '' end as b
+  from parts where host <> ''),
+both_ways as (select a, b from edges union select b, a from edges),
+reach(node, mate) as (
+  select a, a from both_ways union select r.node, e.b from reach r join both_ways e on e.a = r.mate),
+aliases as (
+  select r.node, bool_or(n.decided = 'allow') as allowed, bool_or(n.decided = 'block') as blocked
+  from reach r join named n on r.mate = 'u ' || n.url group by r.node)
+select page_id, host, path, rule,
+  coalesce(decided, case when allowed then 'allow' when blocked then 'block' else 'allow' end) as verdict
+from named left join aliases on node = 'u ' || url
+"""
+
+ORACLE = {"op3_url_filter": OP3, "op9_warc": OP9, "op10_mixing": OP10}

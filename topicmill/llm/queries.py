@@ -2,10 +2,29 @@
 
 from __future__ import annotations
 
-from topicmill.llm import mixing, warc
+from pyspark.sql import functions as F
+
+from topicmill.llm import mixing, pii, token_counts, url_filter, warc
 from topicmill.llm.common import table
 
 
+def op1_token_counts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.with_token_counts(docs).select("doc_id", "n_tokens")
+
+
+def op3_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs)
+    counts = [f"n_{k}" for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op9_warc(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "valid"]
@@ -18,6 +37,9 @@ def op10_mixing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op3_url_filter": op3_url_filter,
+    "op5_pii": op5_pii,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
 }
