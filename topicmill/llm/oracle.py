@@ -111,4 +111,28 @@ select page_id, host, path, rule,
 from named left join aliases on node = 'u ' || url
 """
 
-ORACLE = {"op3_url_filter": OP3, "op9_warc": OP9, "op10_mixing": OP10}
+OP2 = r"""
+with doc_words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+item_words as (
+  select item_id::varchar as item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark where text is not null),
+windows as (
+  select distinct item_id, least(len(w), 10) as width, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') as body
+  from item_words, unnest(generate_series(1, greatest(len(w) - 9, 1))) t(s) where len(w) > 0),
+widths as (select distinct width from windows),
+doc_windows as (
+  select doc_id, width, s, array_to_string(w[s : s + width - 1], ' ') as body
+  from doc_words, widths, unnest(generate_series(1, len(w) - width + 1)) t(s)),
+hits as (select d.doc_id, d.width, d.s, i.item_id from doc_windows d join windows i using (width, body)),
+covered as (
+  select doc_id, count(distinct p) as n from hits, unnest(generate_series(s, s + width - 1)) t(p) group by doc_id),
+items as (
+  select doc_id, count(distinct item_id) as n, string_agg(distinct item_id, ',' order by item_id) as ids from hits group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(c.n, 0)::bigint as n_hit, coalesce(i.n, 0)::bigint as n_items,
+  sha256(coalesce(i.ids, '')) as items_sha256, c.n is not null as contaminated
+from doc_words left join covered c using (doc_id) left join items i using (doc_id)
+"""
+
+ORACLE = {"op2_decontamination": OP2, "op3_url_filter": OP3, "op9_warc": OP9, "op10_mixing": OP10}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from topicmill.llm import mixing, pii, token_counts, url_filter, warc
+from topicmill.llm import decontamination, mixing, pii, set_join, substring_dedup, token_counts, url_filter, warc
 from topicmill.llm.common import table
 
 
@@ -13,6 +13,13 @@ def op1_token_counts(spark, sf_dir):
     return token_counts.with_token_counts(docs).select("doc_id", "n_tokens")
 
 
+def op2_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("item_ids", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 def op3_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -25,6 +32,16 @@ def op5_pii(spark, sf_dir):
     return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def op6_ngram_join(spark, sf_dir):
+    return set_join.link_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substring_dedup.remove_repeats(docs)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_warc(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "valid"]
@@ -38,8 +55,11 @@ def op10_mixing(spark, sf_dir):
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_decontamination": op2_decontamination,
     "op3_url_filter": op3_url_filter,
     "op5_pii": op5_pii,
+    "op6_ngram_join": op6_ngram_join,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
 }
