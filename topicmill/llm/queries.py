@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from topicmill.llm import decontamination, mixing, pii, set_join, substring_dedup, token_counts, url_filter, warc
+from topicmill.llm import decontamination, embedding_dedup, mixing, pii, set_join, substring_dedup, token_counts, url_filter, warc
 from topicmill.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op6_ngram_join(spark, sf_dir):
     return set_join.link_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op8_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = substring_dedup.remove_repeats(docs)
@@ -59,6 +63,7 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op5_pii": op5_pii,
     "op6_ngram_join": op6_ngram_join,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
