@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from topicmill.llm import decontamination, embedding_dedup, mixing, pii, set_join, substring_dedup, token_counts, url_filter, warc
+from topicmill.llm import decontamination, embedding_dedup, mixing, pii, quality, set_join, substring_dedup, token_counts, url_filter, warc
 from topicmill.llm.common import table
 
 
@@ -25,6 +25,12 @@ def op3_url_filter(spark, sf_dir):
     return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).drop("text", "lang", "source")
+
+
 def op5_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find_pii(docs)
@@ -61,6 +67,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op3_url_filter": op3_url_filter,
+    "op4_quality": op4_quality,
     "op5_pii": op5_pii,
     "op6_ngram_join": op6_ngram_join,
     "op7_embedding_dedup": op7_embedding_dedup,
