@@ -17,6 +17,8 @@ shingle hashes; equal sets are one node, whatever their number.
   left are those of one list in different components; where both sets were
   compared with the same pivot, the triangle inequality of the Jaccard distance
   rejects pairs without looking at the sets.
+* Pairs go through parity bitmaps first (about three bits per shingle): two bitmaps
+  never differ in more places than the sets, so too many places reject a pair.
 * Pairs left are verified on whole sets, fetched only for documents that occur in
   a pair: a Bloom filter of bounded size picks them before they are shuffled.
 
@@ -78,6 +80,16 @@ class Sets:
         np.cumsum(_mix(self.value * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)), out=total[1:])
         self.key = _mix((total[self.first[1:]] - total[self.first[:-1]]) ^ self.size.astype(np.uint64))
 
+    def bitmaps(self) -> list[bytes]:
+        """Per row, parities of the shingles that fall on each bit. The number of
+        bits is a power of two, at least twice the size of the set."""
+        bits = np.maximum(64, 2 ** np.ceil(np.log2(np.maximum(2 * self.size, 2))).astype(np.int64))
+        base = np.cumsum(bits) - bits
+        place = base[self.row] + (self.value & (bits[self.row] - 1).astype(np.uint64)).astype(np.int64)
+        parity = (np.bincount(place, minlength=int(bits.sum())) & 1).astype(np.uint8)
+        packed = np.packbits(parity, bitorder="little")
+        return [packed[b // 8 : (b + n) // 8].tobytes() for b, n in zip(base, bits)]
+
     def prefixes(self, rows: np.ndarray) -> np.ndarray:
         """Places in `value` of the first quarter of each chosen row."""
         length = np.where(self.size > 0, self.size - (3 * self.size + 3) // 4 + 1, 0)[rows]
@@ -90,8 +102,8 @@ def _ids(batch: pa.RecordBatch) -> pa.Array:
 
 
 def _summaries(docs: DataFrame, k: int) -> DataFrame:
-    """A pass over the texts: kind 0 rows are (doc_id, set, size), kind 1 rows are
-    (null, shingle, count) of shingles found in three sets or more of a chunk."""
+    """A pass over the texts: kind 0 rows are (doc_id, set, size, bitmap), kind 1
+    rows are (null, shingle, count, null) of shingles found in three sets or more of a chunk."""
 
     def run(batches):
         held, keys, total = [], [], 0
@@ -110,8 +122,8 @@ def _summaries(docs: DataFrame, k: int) -> DataFrame:
             value, count = value[count > 2], count[count > 2]
             none = pa.nulls(len(value), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(value), np.int32)), none, signed(value), pa.array(count.astype(np.int64))],
-                ["kind", "doc_id", "key", "size"],
+                [pa.array(np.ones(len(value), np.int32)), none, signed(value), pa.array(count.astype(np.int64)), pa.nulls(len(value), pa.binary())],
+                ["kind", "doc_id", "key", "size", "bitmap"],
             )
 
         for batch in batches:
@@ -123,8 +135,9 @@ def _summaries(docs: DataFrame, k: int) -> DataFrame:
                         _ids(part),
                         pa.array(sets.key.view(np.int64), mask=sets.size == 0),
                         pa.array(sets.size.astype(np.int64)),
+                        pa.array(sets.bitmaps(), pa.binary(), mask=sets.size == 0),
                     ],
-                    ["kind", "doc_id", "key", "size"],
+                    ["kind", "doc_id", "key", "size", "bitmap"],
                 )
                 held.append(sets)
                 keys.append(sets.key)
@@ -135,7 +148,7 @@ def _summaries(docs: DataFrame, k: int) -> DataFrame:
         if (last := frequent()) is not None:
             yield last
 
-    return docs.mapInArrow(run, "kind int, doc_id long, key long, size long")
+    return docs.mapInArrow(run, "kind int, doc_id long, key long, size long, bitmap binary")
 
 
 def _postings(docs: DataFrame, k: int, frequent: np.ndarray) -> DataFrame:
@@ -273,7 +286,32 @@ def _whole_sets(docs: DataFrame, members: DataFrame, ends: DataFrame, k: int) ->
 
     known = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", bit.alias("bit"))
     found = known.mapInArrow(run, "doc_id long, key long, shingles binary")
-    return found.join(ids, ["doc_id", "key"], "left_semi").select("key", "shingles").dropDuplicates(["key"])
+    # Rows that repeat an id and a text give their set twice: one is kept.
+    chosen = ids.select("key", F.col("doc_id").alias("_id"))
+    return found.join(chosen, "key").where("doc_id = _id").select("key", "shingles").dropDuplicates(["key"])
+
+
+def _possible(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """`pairs` (a, b, ...) that their bitmaps allow to link."""
+
+    def run(batches):
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            columns = (batch.column(i) for i in range(batch.num_columns - 4, batch.num_columns))
+            for i, (x, m, y, n) in enumerate(zip(*columns)):
+                one, two = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
+                small, large = (one, two) if len(one) <= len(two) else (two, one)
+                while len(large) > len(small):
+                    half = len(large) // 2
+                    large = large[:half] ^ large[half:]
+                differ = int(np.bitwise_count(small ^ large).sum())
+                keep[i] = 7 * differ <= m.as_py() + n.as_py()
+            yield batch.select(batch.schema.names[:-4]).filter(pa.array(keep))
+
+    one = bitmaps.select(F.col("key").alias("a"), F.col("bitmap").alias("_x"), F.col("size").alias("_m"))
+    two = bitmaps.select(F.col("key").alias("b"), F.col("bitmap").alias("_y"), F.col("size").alias("_n"))
+    joined = pairs.join(one, "a").join(two, "b").select(*pairs.columns, "_x", "_m", "_y", "_n")
+    return joined.mapInArrow(run, pairs.schema)
 
 
 def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, k: int, name: str) -> DataFrame:
@@ -324,8 +362,11 @@ def link_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     lists = stage(_shared_lists(_postings(rows, k, frequent)), "set_lists")
 
     # Each set with the pivot it shares most lists with.
-    votes = lists.where("near").groupBy("key", "pivot").agg(F.count("*").alias("votes"))
-    first = votes.groupBy(F.col("key").alias("a")).agg(F.max_by("pivot", F.struct("votes", "pivot")).alias("b"))
+    in_lists = lists.select("key").distinct()
+    bitmaps = summary.where("kind = 0 and key is not null").groupBy("key").agg(F.min("bitmap").alias("bitmap"), F.min("size").alias("size"))
+    bitmaps = stage(bitmaps.join(in_lists, "key", "left_semi"), "set_bitmaps")
+    votes = lists.where("near").groupBy(F.col("key").alias("a"), F.col("pivot").alias("b")).agg(F.count("*").alias("votes"))
+    first = _possible(votes, bitmaps).groupBy("a").agg(F.max_by("b", F.struct("votes", "b")).alias("b"))
     with_pivot = _verified(rows, members, stage(first, "set_pivots"), k, "set_with_pivot")
     linked = with_pivot.where(LINKED).select(F.col("a").alias("src"), F.col("b").alias("dst"))
     found = stage(components(linked), "set_components")
@@ -346,7 +387,7 @@ def link_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
         " and not coalesce(x.judge = y.key or y.judge = x.key, false)"
     )
     pairs = x.join(y, possible).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
-    rest = _verified(rows, members, stage(pairs, "set_pairs"), k, "set_verified")
+    rest = _verified(rows, members, stage(_possible(pairs, bitmaps), "set_pairs"), k, "set_verified")
     more = rest.where(LINKED).select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
     # Nodes are sets; rows that repeat an id tie its sets together.
