@@ -27,6 +27,9 @@ from topicmill.session import stage
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 ANCHORS = 3
+# Alignments (some 100 bytes each) up to which their documents are found by a
+# broadcast join.
+SENT_ALIGNMENTS = 400_000
 
 KEY = ["_k1", "_k2"]
 
@@ -114,6 +117,10 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     found = stage(_alignments(docs, _anchors(items, docs, anchors)), "alignments")
     # One row per document; its alignments are bounded by its words and the items.
     per_doc = found.groupBy(*KEY).agg(F.collect_list(F.struct("item", "shift")).alias("_found"))
+    # Few documents have an alignment. Sent to all tasks up to a checked number,
+    # they spare the shuffle of all texts; more are joined by a shuffle.
+    if found.count() <= SENT_ALIGNMENTS:
+        per_doc = F.broadcast(per_doc)
     texts = docs.join(per_doc, KEY).select(*KEY, "_found", words(F.col("text")).alias("_words"))
     last = F.size("item_words") - F.col("width")
     # Only the words along an alignment leave the document's row: as many as the
