@@ -126,10 +126,14 @@ def test_long_counts_need_no_exchange(posts):
     assert sum(r.cnt for r in long.collect()) == 9.0
 
 
-def test_join_blocks_multiplies_repeated_ids(spark):
-    a = spark.createDataFrame([(0, "x"), (0, "y"), (1, "z")], ["id", "a"])
-    b = spark.createDataFrame([(0, "u"), (0, "v"), (2, "w")], ["id", "b"])
-    assert feats.join_blocks([a, b], "id").count() == 4
+def test_repeated_ids_do_not_multiply(spark):
+    hot = spark.range(1000).select(F.lit(0).alias("id"))
+    blocks = [hot.union(spark.range(1, 3).select("id")).withColumn(f"c{i}", F.lit(i)) for i in range(5)]
+    found = feats.join_blocks(blocks, "id").groupBy("id").count()
+    assert {tuple(r) for r in found.collect()} == {(0, 1000), (1, 1), (2, 1)}
+    features = hot.select(F.lit("0").alias("tweet_id"), F.lit(1).alias("f"))
+    labels = features.select("tweet_id", F.lit(1.0).alias("label"))
+    assert feats.with_labels(features, labels).count() == 1000
 
 
 def test_join_blocks_exchanges_each_block_once(spark):

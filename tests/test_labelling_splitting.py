@@ -54,17 +54,42 @@ def test_label_by_row_moves_no_posts(spark, make_posts, tags):
 
 def test_label_moves_posts_only_for_the_distinct(spark, make_posts, tags):
     posts = stage(make_posts([(1, 0, "a")]), "p")
-    ids = labelling.topical_ids(labelling.explode_hashtags(posts), stage(tags("a"), "t"))
-    plan = plan_of(labelling.label_posts(posts, ids))
-    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+    ids = stage(labelling.topical_ids(labelling.explode_hashtags(posts), tags("a")), "ids")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_of(labelling.label_posts(posts, ids))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange hashpartitioning") == 2  # posts and ids; the distinct adds none
+    assert plan.count("Exchange hashpartitioning") == 2  # posts and ids; the distincts add none
 
 
+def test_building_a_plan_starts_no_job(spark, make_posts, tags):
+    posts = make_posts([(1, 0, "a")])
+    ranked = spark.createDataFrame([("a", "train")], "each_hashtag string, split string")
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans", "no job belongs here")
+    labelling.label_posts(posts, labelling.topical_ids(labelling.explode_hashtags(posts), tags("a")))
+    labelling.label_by_row(posts, tags("a"))
+    splitting.drop_leaking(posts.withColumn("split", F.lit("test")), ranked)
+    splitting.drop_leaking_by_row(posts.withColumn("split", F.lit("test")), ranked)
+    assert status.getJobIdsForGroup("plans") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_long_lists_are_refused(make_posts, spark, monkeypatch):
+    monkeypatch.setattr(labelling, "MOST_LISTED", 2)
+    listed = spark.createDataFrame([("a",), ("b",), ("c",)], "each_hashtag string")
+    with pytest.raises(Exception, match="join by id"):
+        labelling.label_by_row(make_posts([(1, 0, "a")]), listed).collect()
+
+
+def test_duplicates_differ_in_nothing_that_counts(spark):
+    rows = [("2", "t", "x"), ("10", "t", "y"), ("10", "t", "z"), ("10", "t", "z"), ("3", "u", "x"), (None, "u", "w")]
+    df = spark.createDataFrame(rows, ["tweet_id", "term", "more"])
+    found = splitting.drop_duplicate_content(df, ["term"])
+    assert sorted((r.tweet_id or "", r.term) for r in found.collect()) == [("", "u"), ("10", "t")]
+    assert "SortAggregate" not in plan_of(found) or "more" not in plan_of(found).split("SortAggregate")[1].split("\n")[0]
+
 def test_birthdays_and_cutoffs(make_posts, tags):
     rows = [(i, 100 + i, f"h{i}") for i in range(20)] + [(50, 1, "other"), (51, 500, "h0"), (52, 103, "h2")]
     exploded = labelling.explode_hashtags(make_posts(rows))
@@ -154,7 +179,7 @@ def test_duplicate_vectors_dense_or_sparse(spark):
 def test_hot_duplicate_combines_before_the_exchange(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("tweet_id"), F.lit("same").alias("x"))
     plan = plan_of(splitting.drop_duplicate_content(df, ["x"]))
-    assert "partial_min_by" in plan
+    assert "partial_min" in plan
 
 
 def test_tag_and_union(spark):

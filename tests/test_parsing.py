@@ -11,9 +11,9 @@ from topicmill.sources import partition_counts, read_posts_json, read_raw_lines,
 
 def raw(id_, lang="en", **extra):
     post = {
-        "created_at": "Thu Jan 31 12:58:06 +0000 2013",
+        "created_at": "Tue Mar 05 07:08:09 +0000 2019",
         "id": id_,
-        "text": "Im ready é",
+        "text": "Ünder the bridge",
         "user": {"id": 7, "screen_name": "sam", "location": None},
         "entities": {
             "hashtags": [{"text": "A", "indices": [0, 1]}, {"text": "b"}],
@@ -37,15 +37,32 @@ def test_decode_never_fails(lines):
     rows = lines("nope", "[]", "{}", '{"id": 1}', "{'id': 1}", '{"id": "x"').select(
         parsing.decode("value", "id bigint").alias("p")
     )
-    found = [(r.p["id"], r.p[parsing.CORRUPT]) for r in rows.collect()]
-    assert found == [
-        (None, "nope"),
-        (None, "[]"),
-        (None, None),
-        (1, None),
-        (None, "{'id': 1}"),
-        (None, '{"id": "x"'),
-    ]
+    assert [r.p and (r.p["id"],) for r in rows.collect()] == [None, None, (None,), (1,), None, None]
+
+
+BROKEN = ['{"id":1}{"id":2}', '{"id":1},{"id":2}', '{"id":1} junk}', '{"id":1}] junk}', '{"id":1}],"mark":1}', '{"id":"a\x01"}', '{"id":NaN}', '[{"id":1}]', "", None]
+
+
+@pytest.mark.parametrize("line", BROKEN)
+def test_a_line_is_one_whole_object(lines, line):
+    df = lines('{"id":5,"a":1} ', line)
+    assert [r.p and r.p["id"] for r in df.select(parsing.decode("value", "id string").alias("p")).collect()] == ["5", None]
+    assert parsing.objects_with_keys(df).count() == 1
+
+
+def test_ids_may_be_strings_or_large(lines):
+    user = {"id": "u7", "screen_name": "sam"}
+    df = lines(json.dumps(raw("x1", user=user)), json.dumps(raw(10**25)))
+    found = {(r.tweet_id, r.from_id) for r in parsing.parse_posts(df, min_length=0).collect()}
+    assert found == {("x1", "u7"), (str(10**25), "7")}
+
+
+def test_rejected_lines_are_counted(lines):
+    good = json.dumps(raw(1))
+    df = lines(good, good + good, json.dumps(raw(2, "de")), json.dumps(raw(3, None)), json.dumps(raw(None)), "x", None)
+    found = {r.reason: r.line_count for r in parsing.rejected_lines(df, min_length=5).collect()}
+    assert found == {"malformed": 1, "language": 2, "missing": 1, "short": 2}
+    assert parsing.parse_posts(df, min_length=5).count() == 1
 
 
 def test_filters(lines):
@@ -58,12 +75,12 @@ def test_filters(lines):
 
 
 def test_parse_posts(lines):
-    good = json.dumps(raw(296965581582786560))
+    good = json.dumps(raw(7000000000000000042))
     df = lines(good, json.dumps(raw(2, "de")), json.dumps(raw(3, None)), good[:-1], good + " tail", '{"lang":"en","id":5}')
     posts = parsing.parse_posts(df, min_length=0)
     assert posts.columns == POST_COLUMNS
     assert [tuple(r) for r in posts.collect()] == [
-        (1359637086.0, "7", "sam", "A b", None, "x", "Im ready é", "296965581582786560")
+        (1551769689.0, "7", "sam", "A b", None, "x", "Ünder the bridge", "7000000000000000042")
     ]
     assert parsing.parse_posts(df).count() == 0
     assert parsing.parse_posts(df, min_length=0, num_partitions=3).count() == 1
@@ -90,9 +107,7 @@ def test_read_many_folders_and_gzip(spark, tmp_path):
     assert braces.count() == 3
     per_partition = partition_counts(read_raw_lines(spark, paths)).collect()
     assert sum(r.row_count for r in per_partition) == 4
-    assert spread(read_raw_lines(spark, paths)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100, numPartitions=40)
-    assert spread(many) is many
+    assert spread(read_raw_lines(spark, paths), 5).rdd.getNumPartitions() == 5
 
 
 def test_typed_posts_and_json_lines(spark, tmp_path):

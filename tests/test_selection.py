@@ -1,16 +1,23 @@
 import random
+import time
 
 import pytest
 from pyspark.ml.feature import ChiSqSelector
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from topicmill.functions.vectors import vector_entries
 from topicmill.learning import ChiSquareTopFeatures
+from topicmill.learning.selector import SelectedFeatures
 from topicmill.operators.selection import chi_square_scores, top_features
 
 
+def _vector_schema():
+    return StructType([StructField("features", VectorUDT())])
+
+
 @pytest.fixture(scope="module")
 def data(spark):
     draw = random.Random(5)
@@ -47,9 +54,9 @@ def test_top_features_ties(spark):
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 50])
-def test_selector_equals_the_built_in_one(data, n):
+def test_p_value_rank_equals_the_built_in_one(data, n):
     built_in = ChiSqSelector(numTopFeatures=n, featuresCol="features", labelCol="label", outputCol="o").fit(data)
-    ours = ChiSquareTopFeatures(numTopFeatures=n).fit(data)
+    ours = ChiSquareTopFeatures(numTopFeatures=n, rankBy="p_value").fit(data)
     assert ours.getIndices() == sorted(built_in.selectedFeatures)
 
 
@@ -60,6 +67,43 @@ def test_statistic_rank_takes_many_distinct_values(spark):
     assert selector.rank(df, 2) == [0, 1]
 
 
+def test_strong_features_rank_by_strength(spark):
+    """All three p-values are 0 in double precision."""
+    draw = random.Random(8)
+    rows = []
+    for _ in range(4000):
+        label = float(draw.random() < 0.5)
+        noisy = [label if draw.random() < keep else 1 - label for keep in (0.65, 0.8, 0.98)]
+        rows.append((label, Vectors.dense(noisy)))
+    df = spark.createDataFrame(rows, ["label", "features"])
+    assert ChiSquareTopFeatures().rank(df, 3) == [2, 1, 0]
+    assert ChiSquareTopFeatures(rankBy="p_value").rank(df, 3) == [2, 1, 0]
+
+
+def test_selected_vectors(spark):
+    rows = [(Vectors.sparse(6, [1, 3, 5], [1.0, 2.0, 3.0]),), (Vectors.dense(1, 2, 0, 4, 5, 6),), (None,), (Vectors.sparse(6, [], []),)]
+    df = spark.createDataFrame(rows, _vector_schema())
+    found = [r.selected for r in SelectedFeatures(indices=[0, 3, 5]).transform(df).collect()]
+    assert found == [Vectors.sparse(3, [1, 2], [2.0, 3.0]), Vectors.sparse(3, [0, 1, 2], [1.0, 4.0, 6.0]), None, Vectors.sparse(3, [], [])]
+
+
+def test_cost_does_not_grow_with_kept_features(spark):
+    draw = random.Random(1)
+    rows = [(Vectors.sparse(200_000, sorted((i, 1.0) for i in draw.sample(range(200_000), 30))),) for _ in range(2000)]
+    df = spark.createDataFrame(rows, _vector_schema()).repartition(4).cache()
+    df.count()
+
+    def seconds(n):
+        selected = SelectedFeatures(indices=list(range(n))).transform(df)
+        start = time.perf_counter()
+        selected.write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(100_000) < 4 * seconds(100) + 1
+    df.unpersist()
+
+
 def test_rank_by_is_checked():
     with pytest.raises(ValueError):
         ChiSquareTopFeatures(rankBy="luck")

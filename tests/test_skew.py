@@ -51,8 +51,8 @@ def posts(spark):
 
 def test_label_join_splits_a_hot_id(spark, posts, small_partitions):
     tags = topic_tags(topics_from_mapping(spark, {"t": ["h1", "hot"]}), "t")
-    ids = labelling.topical_ids(labelling.explode_hashtags(posts), tags)
-    labelled = labelling.label_posts(posts, ids)
+    ids = stage(labelling.topical_ids(labelling.explode_hashtags(posts), tags), "ids")
+    labelled = labelling.label_with_ids(posts, ids)
     positives, rows = labelled.agg(F.sum("label"), F.count("*")).first()
     expected = posts.where("hashtag in ('h1', 'hot')").count()
     assert (positives, rows) == (expected, 60_000)
@@ -68,7 +68,7 @@ def test_birthdays_of_a_hot_hashtag(spark, posts, small_partitions):
 def test_leakage_guard_with_hot_id_and_hashtag(spark, posts, small_partitions):
     ranked = spark.createDataFrame([("hot", "train"), ("h2", "valid")], "each_hashtag string, split string")
     split = posts.withColumn("split", F.when(F.col("create_time") < 30_000, "valid").otherwise("test"))
-    guarded = splitting.drop_leaking(split, ranked)
+    guarded = splitting.without_ids(split, stage(splitting.leaking_ids(split, ranked), "leaking"))
     assert "skew=true" in final_plan(guarded)
     kept = guarded.groupBy("split").count().collect()
     expected = split.where("not (hashtag = 'hot' or (split = 'test' and hashtag = 'h2'))").groupBy("split").count()

@@ -17,7 +17,7 @@ ASCII_LOWER = string.ascii_lowercase
 # Raw lines of at most this many characters are broken posts.
 MIN_LINE_LENGTH = 1000
 
-# Fixed values: `created_at` after its weekday, e.g. "Jan 31 12:58:06 +0000 2013".
+# Fixed values: `created_at` after its weekday, e.g. "Mar 05 07:08:09 +0000 2019".
 CREATED_AT_PATTERN = "MMM d HH:mm:ss Z yyyy"
 
 # Block name -> column it is tokenised from, in assembly order.

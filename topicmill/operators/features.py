@@ -179,11 +179,14 @@ def join_blocks(blocks: list[DataFrame], key: str = "tweet_id") -> DataFrame:
     """Inner-join feature tables on their key.
 
     Every table is exchanged once: the result of each join stays partitioned by
-    the key. Repeated keys multiply, so drop duplicate ids first. When all
-    blocks come from one table, `feature_model` needs no join at all.
+    the key. Of a repeated key the first table keeps all rows and the others one,
+    so a key that occurs k times gives k rows. When all blocks come from one
+    table, `feature_model` needs no join at all.
     """
-    return reduce(lambda left, right: left.join(right, key), blocks)
+    first, *others = blocks
+    return reduce(lambda left, right: left.join(right.dropDuplicates([key]), key), others, first)
 
 
 def with_labels(features: DataFrame, labels: DataFrame, key: str = "tweet_id") -> DataFrame:
-    return features.join(labels.select(key, "label"), key)
+    """Feature rows with their label; an id counts once per distinct label."""
+    return features.join(labels.select(key, "label").distinct(), key)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicmill.functions.text import tokens
-from topicmill.session import stage
+
+# Entries that a list compared within rows may have.
+MOST_LISTED = 10_000
 
 
 def explode_hashtags(posts: DataFrame, *keep: str) -> DataFrame:
@@ -25,29 +27,43 @@ def topical_ids(exploded: DataFrame, tags: DataFrame) -> DataFrame:
 
 
 def label_posts(posts: DataFrame, ids: DataFrame) -> DataFrame:
-    """Distinct posts with `label` 1.0 if their id is topical, else 0.0.
-
-    The ids are written first. Their measured size then lets the planner
-    broadcast them, which spares moving the posts for the join; and where it
-    cannot, a hot id is split, which the adaptive planner does only for a join
-    of plain exchanges (an aggregate on one side rules it out). Posts are
-    exchanged once: equal rows share their id, so the distinct reuses the
-    join's partitioning.
+    """Distinct posts with a `label`: 1.0 where the id is among `ids`, 0.0 elsewhere.
+
+    `ids` may repeat. Equal posts share their id, so removing repeats needs no
+    exchange beyond the join's. Give a written table of ids where one id may hold
+    a large part of all posts: the planner splits a hot key only in a join of
+    plain exchanges, and broadcasts by measured size.
+    """
+    found = ids.select(F.col("tweet_id").alias("found_id")).distinct()
+    joined = posts.join(found, posts["tweet_id"] == found["found_id"], "left")
+    return joined.select(*posts.columns, F.col("found_id").isNotNull().cast("double").alias("label")).distinct()
+
+
+def label_with_ids(posts: DataFrame, ids: DataFrame) -> DataFrame:
+    """`label_posts` for ids that are known to be distinct, such as written ones."""
+    found = ids.select(F.col("tweet_id").alias("found_id"))
+    joined = posts.join(found, posts["tweet_id"] == found["found_id"], "left")
+    return joined.select(*posts.columns, F.col("found_id").isNotNull().cast("double").alias("label")).distinct()
+
+
+def bounded_list(tags: DataFrame, column: str = "each_hashtag") -> Column:
+    """A curated list as one array, for comparison within rows.
+
+    It may hold `MOST_LISTED` entries; a longer one raises an error in the query,
+    since it would be copied into every task.
     """
-    marks = stage(ids, "topical_ids").withColumn("topical", F.lit(1))
-    marked = posts.join(marks, "tweet_id", "left")
-    label = F.when(F.col("topical") == 1, 1.0).otherwise(0.0).alias("label")
-    return marked.select(*[c for c in posts.columns], label).distinct()
+    some = tags.select(column).distinct().limit(MOST_LISTED + 1).agg(F.collect_set(column).alias("tags"))
+    message = F.lit(f"more than {MOST_LISTED} hashtags: use the join by id")
+    checked = F.when(F.size("tags") > MOST_LISTED, F.raise_error(message).cast("array<string>")).otherwise(F.col("tags"))
+    return some.select(checked.alias("tags")).scalar()
 
 
 def label_by_row(posts: DataFrame, tags: DataFrame) -> DataFrame:
     """`label_posts` for a table whose ids are unique: no shuffle at all.
 
-    Every row is its own post then, so its own hashtags decide. The topic's
-    hashtags travel as one array (a scalar subquery over the curated list).
+    Every row is its own post then, so its own hashtags decide.
     """
-    listed = tags.agg(F.collect_set("each_hashtag")).scalar()
-    hit = F.arrays_overlap(tokens("hashtag"), listed)
+    hit = F.arrays_overlap(tokens("hashtag"), bounded_list(tags))
     return posts.withColumn("label", F.when(hit, 1.0).otherwise(0.0))
 
 

@@ -25,6 +25,8 @@ STEP = 1031
 COUNTS_SCHEMA = "lang string, bucket int, cnt long"
 # Rows of this bucket hold a language's number of texts.
 TEXTS = -1
+# Characters that a task turns into trigrams at once (some 50 MB).
+SLICE_CHARS = 1 << 20
 
 
 def trigram_buckets(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
@@ -39,6 +41,17 @@ def trigram_buckets(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return buckets[within], owner[:-2][within]
 
 
+def text_slices(texts: pd.Series, limit: int = SLICE_CHARS) -> Iterator[slice]:
+    """Parts of a batch with about `limit` characters, one text at least: what a
+    task holds at once does not depend on the size of its batches."""
+    ends = np.cumsum(texts.str.len().to_numpy(np.int64))
+    at, base = 0, 0
+    while at < len(ends):
+        stop = max(at + 1, int(np.searchsorted(ends, base + limit, "right")))
+        yield slice(at, stop)
+        at, base = stop, int(ends[stop - 1])
+
+
 def _text(column: str) -> Column:
     return F.lower(F.coalesce(F.col(column), F.lit("")))
 
@@ -48,7 +61,6 @@ def trigram_counts(labelled: DataFrame, text_col: str, lang_col: str, languages:
 
     A task adds up one fixed table of languages by buckets and sends its
     non-zero cells, so the exchange does not grow with the length of the texts.
-    The scan is coalesced to a few tasks per core to keep such tables few.
     """
     known = labelled.where(F.col(lang_col).isin(languages))
     rows = known.select(F.col(lang_col).alias("lang"), _text(text_col).alias("text"))
@@ -58,17 +70,17 @@ def trigram_counts(labelled: DataFrame, text_col: str, lang_col: str, languages:
         cells = np.zeros(len(languages) * BUCKETS, np.int64)
         texts = np.zeros(len(languages), np.int64)
         for batch in batches:
-            lang = batch["lang"].map(place).to_numpy(np.int64)
-            buckets, owner = trigram_buckets(batch["text"])
-            cells += np.bincount(lang[owner] * BUCKETS + buckets, minlength=len(cells))
-            texts += np.bincount(lang, minlength=len(texts))
+            for part in text_slices(batch["text"]):
+                lang = batch["lang"].iloc[part].map(place).to_numpy(np.int64)
+                buckets, owner = trigram_buckets(batch["text"].iloc[part])
+                cells += np.bincount(lang[owner] * BUCKETS + buckets, minlength=len(cells))
+                texts += np.bincount(lang, minlength=len(texts))
         names = np.array(languages, dtype=object)
         seen = np.flatnonzero(cells)
         yield pd.DataFrame({"lang": names[seen // BUCKETS], "bucket": seen % BUCKETS, "cnt": cells[seen]})
         yield pd.DataFrame({"lang": names, "bucket": TEXTS, "cnt": texts})
 
-    cores = labelled.sparkSession.sparkContext.defaultParallelism
-    partial = rows.coalesce(2 * cores).mapInPandas(count, COUNTS_SCHEMA)
+    partial = rows.mapInPandas(count, COUNTS_SCHEMA)
     return partial.groupBy("lang", "bucket").agg(F.sum("cnt").alias("cnt")).where("cnt > 0")
 
 
@@ -111,12 +123,16 @@ class LanguageFilter:
         @F.pandas_udf("string")
         def most_likely(texts: pd.Series) -> pd.Series:
             languages, log_prior, log_cells = shared.value
-            buckets, owner = trigram_buckets(texts)
-            scores = [
-                prior + np.bincount(owner, weights=cells[buckets], minlength=len(texts))
-                for prior, cells in zip(log_prior, log_cells)
-            ]
-            return pd.Series(np.array(languages, dtype=object)[np.argmax(scores, axis=0)])
+            best = np.zeros(len(texts), np.int64)
+            for part in text_slices(texts):
+                some = texts.iloc[part]
+                buckets, owner = trigram_buckets(some)
+                scores = [
+                    prior + np.bincount(owner, weights=cells[buckets], minlength=len(some))
+                    for prior, cells in zip(log_prior, log_cells)
+                ]
+                best[part] = np.argmax(scores, axis=0)
+            return pd.Series(np.array(languages, dtype=object)[best])
 
         # Called non-deterministic so that a filter on the result is not moved
         # below an exchange that spreads the rows, or evaluated a second time.

@@ -9,28 +9,52 @@ from topicmill.constants import MIN_LINE_LENGTH
 from topicmill.functions.time import created_at_seconds
 from topicmill.schema import POST_COLUMNS, RAW_POST
 
-CORRUPT = "_corrupt_record"
 REQUIRED = ["create_time", "from_id", "from_user", "tweet_id"]
+_STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def decode(line: Column | str, schema: str) -> Column:
-    """A JSON line as a struct; anything malformed gives null fields.
+def _framed(line: Column, schema: str) -> tuple[Column, Column]:
+    """The objects of a line, and whether the line is exactly one JSON object.
+
+    Spark's parser stops behind the first value and ignores what follows. So the
+    line is parsed as the only element of a list, with a hash of the line behind
+    it: the hash comes back only if the parser has read up to there, and no line
+    can contain its own hash.
+    """
+    found = _parsed(line, schema)
+    return found["all"][0], _is_whole(line, found["all"], found["mark"])
+
+
+def _parsed(line: Column, schema: str) -> Column:
+    text = F.concat(F.lit('{"all":['), line, F.lit('],"mark":'), F.xxhash64(line).cast("string"), F.lit("}"))
+    return F.from_json(text, f"all array<struct<{schema}>>, mark bigint", _STRICT)
+
+
+def _is_whole(line: Column, objects: Column, mark: Column) -> Column:
+    whole = (mark == F.xxhash64(line)) & (F.size(objects) == 1) & F.ltrim(line).startswith("{")
+    return F.coalesce(whole, F.lit(False))
+
 
-    The struct's `_corrupt_record` holds the text of a line that did not parse.
-    Spark's parser stops behind the first object; `complete_objects` rejects
-    lines that go on after it.
+def with_records(lines: DataFrame, schema: str = RAW_POST) -> DataFrame:
+    """`value`, the record's fields, and `is_object`; each line is parsed once.
+
+    Generating the parsed line, rather than projecting it, keeps filters above the
+    parser; pushed below, they would parse every line again.
     """
-    options = {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT,
-        "allowSingleQuotes": "false",
-    }
-    return F.from_json(line, f"{schema}, {CORRUPT} string", options)
+    parsed = lines.select("value", F.inline_outer(F.array(_parsed(F.col("value"), schema))))
+    whole = _is_whole(F.col("value"), F.col("all"), F.col("mark"))
+    return parsed.select("value", whole.alias("is_object"), F.col("all")[0].alias("_r")).select("value", "is_object", "_r.*")
+
+
+def decode(line: Column | str, schema: str) -> Column:
+    """A JSON line as a struct; null for anything but one well-formed object."""
+    record, whole = _framed(F.col(line) if isinstance(line, str) else line, schema)
+    return F.when(whole, record)
 
 
-def complete_objects(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Lines that end with the object's closing brace."""
-    return lines.where(F.rtrim(F.col(column)).endswith("}"))
+def is_object(line: Column) -> Column:
+    """Whether the line is one well-formed JSON object and nothing else."""
+    return _framed(line, "_none string")[1]
 
 
 def long_lines(lines: DataFrame, min_length: int = MIN_LINE_LENGTH, column: str = "value") -> DataFrame:
@@ -45,7 +69,8 @@ def json_keys(line: Column) -> Column:
 
 def objects_with_keys(lines: DataFrame, more_than: int = 1, column: str = "value") -> DataFrame:
     """Lines that hold a JSON object of more than `more_than` keys."""
-    return lines.where(F.size(json_keys(F.col(column))) > more_than)
+    line = F.col(column)
+    return lines.where(is_object(line) & (F.size(json_keys(line)) > more_than))
 
 
 def in_language(lines: DataFrame, lang: str = "en", column: str = "value") -> DataFrame:
@@ -77,18 +102,39 @@ def parse_posts(
 
     Each line is parsed once. An object with a language and an id has two keys,
     so the key-count filter needs no pass of its own here; posts that lack a
-    required attribute are dropped, since the table does not allow nulls there.
+    required attribute are dropped, since the table does not allow nulls there
+    (`rejected_lines` counts what is dropped, by reason).
     `num_partitions` spreads the parsed rows, for few large gzip files.
     """
-    usable = complete_objects(long_lines(lines, min_length))
-    # Generating the record, rather than projecting it, keeps the language
-    # filter above the parser; pushed below, it would parse every line again.
-    decoded = usable.select(F.inline(F.array(decode("value", RAW_POST))))
-    kept = decoded.where(F.col("lang") == lang).select(*flatten())
+    decoded = with_records(long_lines(lines.select("value"), min_length))
+    kept = decoded.where(F.col("is_object") & (F.col("lang") == lang)).select(*flatten())
     posts = kept.dropna(subset=REQUIRED).select(*POST_COLUMNS)
     return posts.repartition(num_partitions) if num_partitions else posts
 
 
+def rejected_lines(lines: DataFrame, min_length: int = MIN_LINE_LENGTH, lang: str = "en") -> DataFrame:
+    """`(reason, line_count)` of the lines that `parse_posts` leaves out.
+
+    Reasons in the order of the tests: `short`, `malformed`, `language` (another
+    or none), `missing` (a required attribute is absent).
+    """
+    record = with_records(lines.select("value"))
+    short = ~F.coalesce(F.length("value") > min_length, F.lit(False))
+    missing = None
+    posts = {c: e for c, e in zip(POST_COLUMNS, flatten())}
+    for name in REQUIRED:
+        missing = posts[name].isNull() if missing is None else missing | posts[name].isNull()
+    reason = (
+        F.when(short, "short")
+        .when(~F.col("is_object"), "malformed")
+        .when(~F.coalesce(F.col("lang") == lang, F.lit(False)), "language")
+        .when(missing, "missing")
+    )
+    return record.select(reason.alias("reason")).where("reason is not null").groupBy("reason").agg(
+        F.count("*").alias("line_count")
+    )
+
+
 def typed_posts(records: DataFrame) -> DataFrame:
     """Bring loosely typed records (numeric ids, integer times) to the post schema."""
     return records.select(

@@ -33,17 +33,20 @@ def _score_buckets(rows: DataFrame, score_col: str, buckets: int) -> DataFrame:
 
 
 def threshold_totals(
-    rows: DataFrame, score_col: str = "score", label_col: str = "label", buckets: int = 256
+    rows: DataFrame, score_col: str = "score", label_col: str = "label", buckets: int | None = None
 ) -> DataFrame:
     """Per distinct score: `pos`, `n` and their running totals from the top.
 
     A window over all scores would be one task. Instead scores fall into
-    quantile buckets; each bucket sums by itself and adds the total of the
-    buckets above it, of which there are at most `buckets`.
+    quantile buckets, as many as there are shuffle partitions; each bucket sums by
+    itself and adds the total of the buckets above it. A score that is null or not
+    a number has no place in a ranking: it raises an error.
     """
-    scored = rows.select(
-        F.col(score_col).cast("double").alias("score"), F.col(label_col).cast("double").alias("label")
-    )
+    buckets = buckets or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    score = F.col(score_col).cast("double")
+    wrong = score.isNull() | F.isnan(score)
+    score = F.when(wrong, F.raise_error(F.lit("a score is null or NaN")).cast("double")).otherwise(score)
+    scored = rows.select(score.alias("score"), F.col(label_col).cast("double").alias("label"))
     grouped = (
         _score_buckets(scored, "score", buckets)
         .groupBy("_bucket", "score")
@@ -69,7 +72,7 @@ def threshold_totals(
 
 
 def average_precision(
-    rows: DataFrame, score_col: str = "score", label_col: str = "label", buckets: int = 256
+    rows: DataFrame, score_col: str = "score", label_col: str = "label", buckets: int | None = None
 ) -> DataFrame:
     """One row `average_precision`: precision at each threshold, weighted by recall gain.
 

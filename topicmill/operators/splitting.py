@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from topicmill.constants import TRAIN_SHARE, VALID_SHARE
 from topicmill.functions.text import tokens
 from topicmill.functions.vectors import vector_entries
-from topicmill.session import stage
+from topicmill.operators.labelling import bounded_list
 
 
 def hashtag_birthdays(exploded: DataFrame, tags: DataFrame) -> DataFrame:
@@ -98,17 +98,24 @@ def leaking_ids(posts: DataFrame, ranked: DataFrame) -> DataFrame:
 def drop_leaking(posts: DataFrame, ranked: DataFrame) -> DataFrame:
     """Remove leaking posts by id, as an anti join; nothing is collected.
 
-    The leaking ids are written first, for the reasons given in `label_posts`.
+    Where one id holds a large part of all posts, write `leaking_ids` first and
+    use `without_ids` (see `label_with_ids`).
     """
-    leaking = stage(leaking_ids(posts, ranked), "leaking_ids")
+    return without_ids(posts, leaking_ids(posts, ranked))
+
+
+def without_ids(posts: DataFrame, leaking: DataFrame) -> DataFrame:
     return posts.join(leaking, ["tweet_id", "split"], "left_anti")
 
 
 def drop_leaking_by_row(posts: DataFrame, ranked: DataFrame) -> DataFrame:
-    """`drop_leaking` for a table whose ids are unique: a filter, no shuffle."""
+    """`drop_leaking` for a table whose ids are unique: a filter, no shuffle.
+
+    The hashtags travel as arrays of at most `MOST_LISTED`; a longer list raises.
+    """
 
     def listed(*splits: str) -> Column:
-        return ranked.where(F.col("split").isin(*splits)).agg(F.collect_set("each_hashtag")).scalar()
+        return bounded_list(ranked.where(F.col("split").isin(*splits)))
 
     words = tokens("hashtag")
     leaks = (
@@ -131,8 +138,10 @@ def drop_duplicate_content(posts: DataFrame, content: list[str], id_col: str = "
     """Of posts equal in `content`, keep the one with the lowest id.
 
     Vectors are compared by their entries, so a dense and a sparse form of the
-    same counts are equal. The key is a 256-bit digest and `min_by` combines on
-    the map side: a post copied into a third of all rows leaves each task once.
+    same counts are equal. Of equal content and equal id the row with the lowest
+    hash of its other columns stays. The key is a 256-bit digest. A narrow
+    aggregate over key and id, which combines on the map side, finds the row to
+    keep; whole rows are moved once, and only where they are that row.
     """
     vector_like = {f.name for f in posts.schema if f.dataType.typeName() == "vectorudt"}
     parts = [
@@ -142,8 +151,19 @@ def drop_duplicate_content(posts: DataFrame, content: list[str], id_col: str = "
     # A length before each part keeps ("ab", "c") apart from ("a", "bc"); a null has none.
     framed = [F.concat_ws(":", F.coalesce(F.length(p).cast("string"), F.lit("-")), p) for p in parts]
     key = F.sha2(F.concat_ws("|", *framed), 256)
-    row = F.struct(*posts.columns)
-    return posts.groupBy(key.alias("_key")).agg(F.min_by(row, F.col(id_col)).alias("_row")).select("_row.*")
+    others = [vector_entries(F.col(c)) if c in vector_like else F.col(c) for c in posts.columns]
+    keyed = posts.withColumns({"_key": key, "_rest": F.xxhash64(*others)})
+    first = F.min(F.struct(F.col(id_col).alias("id"), F.col("_rest").alias("rest"))).alias("_first")
+    least = keyed.select("_key", id_col, "_rest").groupBy(F.col("_key").alias("_k")).agg(first)
+    chosen = (
+        (F.col("_key") == F.col("_k"))
+        & F.col(id_col).eqNullSafe(F.col("_first.id"))
+        & (F.col("_rest") == F.col("_first.rest"))
+    )
+    # Rows equal in all columns are still there as often as they came.
+    kept = keyed.join(least, chosen, "left_semi")
+    once = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
+    return kept.withColumn("_n", once).where("_n = 1").select(*posts.columns)
 
 
 def tag_and_union(parts: dict[str, DataFrame], column: str = "type") -> DataFrame:

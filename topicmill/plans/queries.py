@@ -6,9 +6,10 @@ Each takes `(spark, sf_dir)` and runs over the whole tables it names.
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from topicmill import constants as C
 from topicmill import learning
 from topicmill.functions import (
     clean_hashtag,
@@ -28,6 +29,7 @@ from topicmill.operators.language import LanguageFilter
 from topicmill.plans import flow
 from topicmill.session import stage, stage_path
 from topicmill.sources import sinks, testdata
+from topicmill.sources.posts import spread
 from topicmill.sources.topics import topic_tags
 
 # The document-frequency floors of the test tables, which are small.
@@ -117,7 +119,7 @@ def filter_min_keys(spark, sf_dir):
 
 
 def filter_lang(spark, sf_dir):
-    kept = parsing.in_language(parsing.complete_objects(raw_posts(spark, sf_dir)))
+    kept = parsing.in_language(raw_posts(spark, sf_dir))
     return kept.select(F.get_json_object("value", "$.id").alias("tweet_id"))
 
 
@@ -125,6 +127,10 @@ def flatten_post(spark, sf_dir):
     return parsing.parse_posts(raw_posts(spark, sf_dir), min_length=0)
 
 
+def rejected_lines(spark, sf_dir):
+    return parsing.rejected_lines(raw_posts(spark, sf_dir), min_length=0)
+
+
 def parse_created_at(spark, sf_dir):
     events = testdata.table(spark, sf_dir, "events")
     stamp = F.date_format("ts", "EEE MMM dd HH:mm:ss '+0000' yyyy")
@@ -132,7 +138,7 @@ def parse_created_at(spark, sf_dir):
 
 
 def lang_filter(spark, sf_dir):
-    docs = testdata.spread(testdata.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    docs = spread(testdata.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), testdata.SPREAD)
     model = LanguageFilter.train(docs, "text", "lang")
     return model.keep(docs, "en", "text").select("doc_id", "lang")
 
@@ -167,7 +173,7 @@ def strip_urls_(spark, sf_dir):
 
 
 def tokenize(spark, sf_dir):
-    docs = testdata.spread(testdata.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = spread(testdata.table(spark, sf_dir, "documents").select("doc_id", "text"), testdata.SPREAD)
     words = docs.select("doc_id", tokens("text").alias("words"))
     return words.select("doc_id", F.size("words").alias("word_count"), F.array_join("words", "|").alias("words"))
 
@@ -262,10 +268,19 @@ def positive_counts(spark, sf_dir):
 
 
 def dedup_content(spark, sf_dir):
-    content = ["term", "hashtag", "mention"]
+    content = ["term", "hashtag", "mention", "from_user"]
     return splitting.drop_duplicate_content(cleaned(spark, sf_dir), content).select("tweet_id", "from_user")
 
 
+def dedup_vectors(spark, sf_dir):
+    """The same on count vectors of the four blocks."""
+    table = staged_posts(spark, sf_dir)
+    vectors = feats.feature_model(table, MIN_DF, blocks=C.DEDUP_BLOCKS, assemble=False).transform(table)
+    compared = [f"{b}_features" for b in C.DEDUP_BLOCKS]
+    vectors = vectors.select("tweet_id", *[bare(c) for c in compared])
+    return splitting.drop_duplicate_content(vectors, compared).select("tweet_id")
+
+
 def union_typed(spark, sf_dir):
     kept = splitting.drop_leaking(*_split_tables(spark, sf_dir))
     parts = {s: kept.where(F.col("split") == s).select("tweet_id", "label") for s in ("train", "valid")}
@@ -405,23 +420,58 @@ def _scored_test(spark, sf_dir):
 
 
 def train_score(spark, sf_dir):
-    return _scored_test(spark, sf_dir)
+    """What SQL can know of a trained model's scores: exactly the test rows after
+    guard and dedup with their labels, scores within [0, 1]."""
+    scored = _scored_test(spark, sf_dir)
+    follows = (F.col("prediction") == 1.0) == (F.col("score") > 0.5)
+    return scored.select("tweet_id", "label", F.col("score").between(0.0, 1.0).alias("is_share"), follows.alias("follows"))
+
+
+def _ranked_documents(spark, sf_dir):
+    """A model's place is taken by a score that SQL can repeat: the length."""
+    scored = _scored_documents(spark, sf_dir).withColumns(
+        {"tweet_id": F.col("doc_id").cast("string"), "prediction": (F.col("score") > 2000).cast("double")}
+    )
+    return ranking.rank_predictions(scored, id_col="doc_id")
 
 
 def rank_predictions(spark, sf_dir):
-    return ranking.rank_predictions(_scored_test(spark, sf_dir))
+    """The ranking with its places, numbered by the metrics' running totals."""
+    ranked = _ranked_documents(spark, sf_dir)
+    totals = ranking.threshold_totals(ranked).select("score", F.col("running_n").alias("last_place"), "n")
+    return ranked.join(totals, "score").select("doc_id", "score", "label", "last_place", F.col("n").alias("tied"))
 
 
 def predictions_with_text(spark, sf_dir):
-    return learning.readable_predictions(_scored_test(spark, sf_dir), cleaned(spark, sf_dir))
+    texts = testdata.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("tweet_id"), F.col("text").alias("term"), F.col("lang").alias("hashtag"),
+        F.col("source").alias("from_user"),
+    )
+    return learning.readable_predictions(_ranked_documents(spark, sf_dir), texts)
 
 
 def cv_summary(spark, sf_dir):
+    """Mean metric per setting and the best one, over a table of metrics derived
+    from the labels: a setting per source of the labelled documents."""
+    docs = testdata.table(spark, sf_dir, "documents").select("doc_id", "source")
+    labels = testdata.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
+    place = F.dense_rank().over(Window.orderBy("source")) - 1
+    fold = F.pmod(F.col("doc_id"), F.lit(NUM_FOLDS)).cast("int")
+    cells = docs.join(labels, "doc_id").groupBy("source", fold.alias("fold")).agg(F.avg("quality").alias("metric"))
+    metrics = cells.select(place.cast("int").alias("param_id"), F.col("source").alias("params"), "fold", "metric")
+    summary = learning.summarise(metrics)
+    best = learning.best_params(summary).scalar()
+    return summary.select(
+        "param_id", "params", F.round("avg_metric", 9).alias("avg_metric"), "folds", (F.col("param_id") == best).alias("is_best")
+    )
+
+
+def tuning_report(spark, sf_dir):
+    """Which models a tuning run measures: each setting on each fold."""
     combined = _tables(spark, sf_dir).combined
     _, tuner = flow.tune(combined, [20, 100], [0.1, 1.0], [5], num_folds=2)
-    summary = learning.summarise(tuner.metrics_table(spark))
-    best = learning.best_params(summary).scalar()
-    return summary.withColumn("is_best", F.col("param_id") == best)
+    found = tuner.metrics_table(spark)
+    return found.select("param_id", "params", "fold", F.col("metric").between(0.0, 1.0).alias("is_share"))
 
 
 QUERIES = {
@@ -435,6 +485,7 @@ QUERIES = {
     "filter_min_keys": filter_min_keys,
     "filter_lang": filter_lang,
     "flatten_post": flatten_post,
+    "rejected_lines": rejected_lines,
     "parse_created_at": parse_created_at,
     "lang_filter": lang_filter,
     "project_posts": project_posts,
@@ -459,6 +510,7 @@ QUERIES = {
     "leakage_by_row": leakage_by_row,
     "positive_counts": positive_counts,
     "dedup_content": dedup_content,
+    "dedup_vectors": dedup_vectors,
     "union_typed": union_typed,
     "stratified_sample": stratified_sample,
     "cv_folds": cv_folds,
@@ -482,4 +534,5 @@ QUERIES = {
     "rank_predictions": rank_predictions,
     "predictions_with_text": predictions_with_text,
     "cv_summary": cv_summary,
+    "tuning_report": tuning_report,
 }

@@ -3,10 +3,11 @@
 from pyspark.sql import types as T
 
 # The attributes of a raw post that are ever read; everything else in the JSON
-# object is skipped by the parser.
+# object is skipped by the parser. Ids are read as text, whether the line has them
+# as numbers (of any size) or as strings.
 RAW_POST = (
-    "id bigint, text string, lang string, created_at string, "
-    "user struct<id:bigint, screen_name:string, location:string>, "
+    "id string, text string, lang string, created_at string, "
+    "user struct<id:string, screen_name:string, location:string>, "
     "entities struct<hashtags:array<struct<text:string>>, "
     "user_mentions:array<struct<screen_name:string>>>"
 )

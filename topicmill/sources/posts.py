@@ -40,11 +40,10 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan only where it has fewer tasks than the cluster has cores.
+def spread(df: DataFrame, num_partitions: int) -> DataFrame:
+    """Deal the rows of a scan over `num_partitions` tasks.
 
-    One gzip file or one parquet row group is one task, however many executors
-    wait; a scan of many files comes back unchanged and is not shuffled.
+    For scans of few unsplittable files (gzip, single row groups) before a costly
+    narrow step; the caller knows whether that pays for the exchange.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(num_partitions)

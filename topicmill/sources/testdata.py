@@ -16,6 +16,8 @@ from topicmill.sources.posts import spread
 TAG_LENGTH = 12
 MENTION_LENGTH = 10
 TOPIC_SIZE = 20
+# Tasks that the documents' one file is dealt to.
+SPREAD = 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,12 +25,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document with its event and the words used as tags."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    """One row per document with its first event and the words used as tags.
+
+    Events fall to documents by their id modulo the number of documents; of a
+    document's events the first in time counts, equal times by id. Documents
+    without an event have none.
+    """
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), SPREAD)
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    number = docs.select("doc_id").agg(F.count("*")).scalar()
+    event = F.struct("ts", "event_id", "user_id", "event_type")
+    first = events.groupBy(F.pmod("event_id", number).alias("_doc")).agg(F.min_by(event, F.struct("ts", "event_id")).alias("e"))
+    events = first.select("_doc", "e.*")
     seconds = F.expr("cast(ts - timestamp_ntz'1970-01-01 00:00:00' as interval second)")
     words = F.split("text", "[^A-Za-z]+")
-    joined = docs.join(events, docs["doc_id"] == events["event_id"])
+    joined = docs.join(events, docs["doc_id"] == events["_doc"])
     return (
         joined.withColumn("seconds", F.floor(seconds.cast("decimal(20,6)")).cast("double"))
         .withColumn("words", words)
@@ -82,7 +93,10 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines, one per document of any language; some of them damaged.
 
     By event type: `error` lines lost their closing brace, `signup` lines hold
-    one key only, `purchase` lines lack the language.
+    one key only, `purchase` lines lack the language. Of `click` lines those with
+    an odd id have their ids as JSON strings. Of `view` lines some go on after the
+    object (with another object, or with junk), some hold a raw control character,
+    by the remainder of the id.
     """
     instant = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=F.col("seconds"))
     columns = _columns()
@@ -103,8 +117,16 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("entities"),
     )
     full = F.to_json(record)
+    quoted = F.regexp_replace(full, r'"id":(\d+)', r'"id":"$1"')
+    rest = F.col("doc_id") % 8
+    view = F.col("event_type") == "view"
     line = (
-        F.when(F.col("event_type") == "error", F.regexp_replace(full, r"\}\z", ""))
+        F.when(view & (rest == 1), F.concat(full, full))
+        .when(view & (rest == 2), F.concat(full, F.lit(" junk}")))
+        .when(view & (rest == 3), F.concat(full, F.lit("] junk}")))
+        .when(view & (rest == 4), F.replace(full, F.lit('"lang":"'), F.lit('"lang":"\x01')))
+        .when((F.col("event_type") == "click") & (F.col("doc_id") % 2 == 1), quoted)
+        .when(F.col("event_type") == "error", F.regexp_replace(full, r"\}\z", ""))
         .when(F.col("event_type") == "signup", F.to_json(F.struct(F.col("doc_id").alias("id"))))
         .otherwise(full)
     )
