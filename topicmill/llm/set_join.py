@@ -13,8 +13,10 @@ shingle hashes; equal sets are one node, whatever their number.
   too few shingles are skipped.
 * Relations between sets save comparisons. First each set is compared with one
   set only, the pivot it shares most lists with. What links with a pivot has its
-  answers from the pivot: pairs within a component are never compared. The pairs
-  left are those of one list in different components; where both sets were
+  answers from the pivot: pairs within a component are never compared. In some more
+  rounds, sets that still share lists with other components are compared with a few
+  pivots of those, drawn anew. The pairs left are those of one list in different
+  components, all of which are looked at; where both sets were
   compared with the same pivot, the triangle inequality of the Jaccard distance
   rejects pairs without looking at the sets.
 * Pairs go through parity bitmaps first (about three bits per shingle): two bitmaps
@@ -32,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from topicmill.llm.common import RollingHash, Words, _mix, signed, slices
 from topicmill.llm.components import components
@@ -44,6 +47,9 @@ FREQUENT = 64
 FREQUENT_LIMIT = 200_000
 # Shingles that a task counts at once when it looks for frequent ones.
 COUNTED_AT_ONCE = 2_000_000
+# Rounds with pivots drawn anew, pivots per list, and comparisons per set and round.
+# They only save work: whatever they leave open is compared pair by pair.
+ROUNDS, PIVOTS, COMPARED = 1, 4, 3
 BLOOM_BITS = (1 << 16, 1 << 26)
 
 _WORD_HASH, _SHINGLE_HASH = RollingHash(11), RollingHash(12)
@@ -340,6 +346,28 @@ def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, k: int, nam
     return stage(joined.mapInArrow(run, "a long, b long, common long, size_a long, size_b long"), name)
 
 
+def _mixed_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """Postings of lists with sets of two components or more, with the component."""
+    placed = lists.select("shingle", "key", "size", "place").join(found.withColumnRenamed("node", "key"), "key", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "key"))
+    mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return placed.join(mixed.where("low < high"), "shingle", "left_semi")
+
+
+def _drawn_pairs(placed: DataFrame, bitmaps: DataFrame, draw: int) -> DataFrame:
+    """Pairs (a, b) of a set and a pivot of another component in one of its lists.
+
+    A list's pivots are the sets that come first by a hash; the same ones come
+    first in most lists of similar sets."""
+    order = [F.xxhash64("key", F.lit(PIVOTS * draw + i)) for i in range(PIVOTS)]
+    first = [F.struct(F.min_by("key", h).alias("b"), F.min_by("component", h).alias("other")) for h in order]
+    pivots = placed.groupBy("shingle").agg(F.array(*first).alias("pivots"))
+    met = placed.join(pivots, "shingle").select(F.col("key").alias("a"), "component", F.explode(F.array_distinct("pivots")).alias("p"))
+    votes = met.where("p.other <> component").groupBy("a", F.col("p.b").alias("b")).agg(F.count("*").alias("votes"))
+    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("votes"), "b"))
+    return _possible(votes, bitmaps).withColumn("_place", place).where(F.col("_place") <= COMPARED).select("a", "b")
+
+
 LINKED = "100 * common >= 75 * (size_a + size_b - common)"
 
 
@@ -370,14 +398,18 @@ def link_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     with_pivot = _verified(rows, members, stage(first, "set_pivots"), k, "set_with_pivot")
     linked = with_pivot.where(LINKED).select(F.col("a").alias("src"), F.col("b").alias("dst"))
     found = stage(components(linked), "set_components")
+    # Components only grow, so mixed lists only become fewer.
+    placed = stage(_mixed_lists(lists, found), "set_mixed_lists")
+    for draw in range(1, ROUNDS + 1):
+        drawn = _verified(rows, members, stage(_drawn_pairs(placed, bitmaps, draw), "set_drawn"), k, "set_with_drawn")
+        linked = linked.union(drawn.where(LINKED).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+        found = stage(components(linked), "set_components")
+        placed = stage(_mixed_lists(placed, found), "set_mixed_lists")
 
     # Pairs of one list in different components, less what the pivots exclude.
     similarity = F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
     known = with_pivot.select(F.col("a").alias("key"), F.col("b").alias("judge"), similarity.alias("similarity"))
-    placed = lists.drop("pivot", "near").join(found.withColumnRenamed("node", "key"), "key", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "key"))
-    mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    placed = stage(placed.join(mixed, "shingle", "left_semi").join(known, "key", "left"), "set_mixed_lists")
+    placed = stage(placed.join(known, "key", "left"), "set_judged_lists")
     x, y = placed.alias("x"), placed.alias("y")
     possible = F.expr(
         "x.shingle = y.shingle and x.component < y.component"
