@@ -7,8 +7,12 @@ import os
 import sys
 import time
 
+from pyspark.sql import functions as F
+
+from topicmill.operators.language import LanguageFilter
 from topicmill.plans.queries import QUERIES
-from topicmill.session import build_session
+from topicmill.session import build_session, stage
+from topicmill.sources import spread
 
 HEADLINE = [
     "flatten_post",
@@ -31,6 +35,23 @@ HEADLINE = [
 ]
 
 
+def language_filter(spark, sf_dir: str) -> dict:
+    """Training and scoring apart, in kept posts per second: on whole documents,
+    and on texts of the length of a post."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    docs = stage(spread(docs, 32), "bench_documents")
+    start = time.perf_counter()
+    model = LanguageFilter.train(docs, "text", "lang")
+    found = {"lang_train_sec": round(time.perf_counter() - start, 3)}
+    pieces = F.explode(F.regexp_extract_all("text", F.lit(r"(?s).{1,140}"), 0))
+    posts = stage(docs.select("doc_id", pieces.alias("text")), "bench_posts")
+    for name, table in (("documents", docs), ("post_length", posts)):
+        start = time.perf_counter()
+        kept = model.keep(table, "en", "text").count()
+        found[f"lang_kept_per_sec_{name}"] = round(kept / (time.perf_counter() - start), 1)
+    return found
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -43,8 +64,9 @@ def main() -> None:
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     names = sys.argv[1:] or HEADLINE
+    # Start-up and code generation are not what is measured.
+    QUERIES["clean_term"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in names:
         start = time.perf_counter()
@@ -56,11 +78,9 @@ def main() -> None:
         "unit": "sec",
         "queries": seconds,
         "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
-        "documents": documents,
     }
     if "lang_filter" in seconds:
-        # The published figure for this step is 1,887 kept posts per second.
-        result["lang_filter_posts_per_sec"] = round(documents / seconds["lang_filter"], 1)
+        result |= language_filter(spark, sf_dir)
     print(json.dumps(result))
     spark.stop()
 
