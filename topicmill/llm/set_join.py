@@ -22,7 +22,9 @@ shingle hashes; equal sets are one node, whatever their number.
 * Pairs go through parity bitmaps first (about three bits per shingle): two bitmaps
   never differ in more places than the sets, so too many places reject a pair.
 * Pairs left are verified on whole sets, fetched only for documents that occur in
-  a pair: a Bloom filter of bounded size picks them before they are shuffled.
+  a pair: a Bloom filter of bounded size picks them before they are shuffled. They
+  travel as upper halves of the hashes; what halves leave open is compared again by
+  whole hashes.
 
 Postings are rows of joins and aggregates; no list is gathered, except by the
 join's own spillable buffer.
@@ -269,8 +271,9 @@ def _bloom(ids: DataFrame) -> tuple[np.ndarray, int]:
     return table, bits
 
 
-def _whole_sets(docs: DataFrame, members: DataFrame, ends: DataFrame, k: int) -> DataFrame:
-    """(key, shingles) of the sets in `ends`, from one document of each."""
+def _whole_sets(docs: DataFrame, members: DataFrame, ends: DataFrame, k: int, form: type) -> DataFrame:
+    """(key, shingles) of the sets in `ends`, from one document of each. `form` is
+    the width of a shingle: uint64, or uint32 for its upper half."""
     ids = stage(
         members.where("doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id")).join(ends, "key", "left_semi"),
         "set_ends",
@@ -285,7 +288,8 @@ def _whole_sets(docs: DataFrame, members: DataFrame, ends: DataFrame, k: int) ->
             hit = (shared.value[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)
             for part in slices(batch.filter(pa.array(hit.astype(bool)))):
                 sets = Sets(part.column(1), k, np.empty(0, np.uint64))
-                found = [sets.value[a:b].tobytes() for a, b in zip(sets.first[:-1], sets.first[1:])]
+                value = (sets.value >> np.uint64(64 - 8 * np.dtype(form).itemsize)).astype(form)
+                found = [value[a:b].tobytes() for a, b in zip(sets.first[:-1], sets.first[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [_ids(part), signed(sets.key), pa.array(found, pa.binary())], ["doc_id", "key", "shingles"]
                 )
@@ -320,30 +324,51 @@ def _possible(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, pairs.schema)
 
 
-def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, k: int, name: str) -> DataFrame:
-    """`pairs` (a, b) with the size of their intersection and of both sets."""
+def _compared(docs: DataFrame, members: DataFrame, pairs: DataFrame, k: int, form: type) -> DataFrame:
+    """`pairs` (a, b) with the size of both sets, of what they have in common, and
+    how many of the latter may be different shingles that look equal in `form`."""
     ends = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    sets = _whole_sets(docs, members, ends, k)
+    sets = _whole_sets(docs, members, ends, k, form)
 
     def run(batches):
         for batch in batches:
             common, sizes = [], ([], [])
             for x, y in zip(batch.column(2), batch.column(3)):
-                one, two = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
+                one, two = (np.frombuffer(v.as_py(), form) for v in (x, y))
                 small, large = (one, two) if len(one) <= len(two) else (two, one)
                 at = np.minimum(np.searchsorted(large, small), len(large) - 1)
                 common.append(int((large[at] == small).sum()))
                 sizes[0].append(len(one))
                 sizes[1].append(len(two))
+            spare = np.zeros(len(common), np.int64)
+            if form is np.uint32:
+                # Pairs of different shingles with equal halves to be expected. That
+                # there are more than `spare` has a chance below 1e-12.
+                chance = np.array(sizes[0], float) * np.array(sizes[1], float) / 2.0**32
+                spare += 4 + np.ceil(4 * chance + 8 * np.sqrt(chance)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(x, pa.int64()) for x in (common, *sizes))],
-                ["a", "b", "common", "size_a", "size_b"],
+                [batch.column(0), batch.column(1), *(pa.array(x, pa.int64()) for x in (common, *sizes, spare))],
+                ["a", "b", "common", "size_a", "size_b", "spare"],
             )
 
     one = sets.select(F.col("key").alias("a"), F.col("shingles").alias("one"))
     two = sets.select(F.col("key").alias("b"), F.col("shingles").alias("two"))
     joined = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "one", "two")
-    return stage(joined.mapInArrow(run, "a long, b long, common long, size_a long, size_b long"), name)
+    return joined.mapInArrow(run, "a long, b long, common long, size_a long, size_b long, spare long")
+
+
+# Pairs that link at the least they have in common, and at the most.
+LINKED = "100 * (common - spare) >= 75 * (size_a + size_b - common + spare)"
+AT_MOST = "100 * common >= 75 * (size_a + size_b - common)"
+
+
+def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame, k: int, name: str) -> DataFrame:
+    """`pairs` compared by half shingles, which need half the shuffle; those that
+    this doesn't decide are compared by whole ones, so LINKED holds for the links."""
+    halves = stage(_compared(docs, members, pairs, k, np.uint32), name)
+    unclear = f"{AT_MOST} and not {LINKED}"
+    whole = stage(_compared(docs, members, halves.where(unclear).select("a", "b"), k, np.uint64), name)
+    return halves.where(f"not ({unclear})").union(whole)
 
 
 def _mixed_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
@@ -368,9 +393,6 @@ def _drawn_pairs(placed: DataFrame, bitmaps: DataFrame, draw: int) -> DataFrame:
     return _possible(votes, bitmaps).withColumn("_place", place).where(F.col("_place") <= COMPARED).select("a", "b")
 
 
-LINKED = "100 * common >= 75 * (size_a + size_b - common)"
-
-
 def link_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of `docs` (doc_id, text).
 
@@ -407,15 +429,15 @@ def link_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
         placed = stage(_mixed_lists(placed, found), "set_mixed_lists")
 
     # Pairs of one list in different components, less what the pivots exclude.
-    similarity = F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
-    known = with_pivot.select(F.col("a").alias("key"), F.col("b").alias("judge"), similarity.alias("similarity"))
+    bounds = [F.expr(f"{x} / (size_a + size_b - ({x}))") for x in ("common - spare", "common")]
+    known = with_pivot.select(F.col("a").alias("key"), F.col("b").alias("judge"), *(x.alias(n) for x, n in zip(bounds, ("low", "high"))))
     placed = stage(placed.join(known, "key", "left"), "set_judged_lists")
     x, y = placed.alias("x"), placed.alias("y")
     possible = F.expr(
         "x.shingle = y.shingle and x.component < y.component"
         " and 3 * x.size <= 4 * y.size and 3 * y.size <= 4 * x.size"
         " and 7 * least(x.size - x.place, y.size - y.place) >= 3 * (x.size + y.size)"
-        " and not coalesce(x.judge = y.judge and abs(x.similarity - y.similarity) > 0.25000001, false)"
+        " and not coalesce(x.judge = y.judge and greatest(x.low - y.high, y.low - x.high) > 0.25000001, false)"
         " and not coalesce(x.judge = y.key or y.judge = x.key, false)"
     )
     pairs = x.join(y, possible).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
