@@ -1,6 +1,7 @@
 """DuckDB SQL for the operators that SQL can express."""
 
 from topicmill.llm.mixing import BUCKETS, MAX_EPOCHS, SEED
+from topicmill.llm.oracle_tables import OP11, OP12
 
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -135,4 +136,11 @@ select doc_id, len(w)::bigint as n_words, coalesce(c.n, 0)::bigint as n_hit, coa
 from doc_words left join covered c using (doc_id) left join items i using (doc_id)
 """
 
-ORACLE = {"op2_decontamination": OP2, "op3_url_filter": OP3, "op9_warc": OP9, "op10_mixing": OP10}
+ORACLE = {
+    "op2_decontamination": OP2,
+    "op3_url_filter": OP3,
+    "op9_warc": OP9,
+    "op10_mixing": OP10,
+    "op11_merkle_manifest": OP11,
+    "op12_line_dedup": OP12,
+}

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from topicmill.llm import decontamination, embedding_dedup, mixing, pii, quality, set_join, substring_dedup, token_counts, url_filter, warc
+from topicmill.llm import alignment, decontamination, embedding_dedup, line_dedup, merkle, mixing, pii, quality
+from topicmill.llm import set_join, substring_dedup, token_counts, url_filter, warc
 from topicmill.llm.common import table
 
 
@@ -63,6 +64,24 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "whole")
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    leaves = docs.select("doc_id", "source", merkle.leaf_digest().alias("leaf"), merkle.tampered_leaf().alias("claimed"))
+    found = merkle.verify(merkle.manifest(leaves))
+    proof = merkle.proof_digest(F.col("path")).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
+def op12_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = line_dedup.dedup_lines(docs)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_tokenizer_alignment(spark, sf_dir):
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -74,4 +93,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
