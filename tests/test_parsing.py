@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from topicmill.operators import parsing
 from topicmill.schema import POST_COLUMNS
 from topicmill.sources import partition_counts, read_posts_json, read_raw_lines, spread
+from topicmill.sources.posts import scan_bytes
 
 
 def raw(id_, lang="en", **extra):
@@ -107,7 +108,20 @@ def test_read_many_folders_and_gzip(spark, tmp_path):
     assert braces.count() == 3
     per_partition = partition_counts(read_raw_lines(spark, paths)).collect()
     assert sum(r.row_count for r in per_partition) == 4
-    assert spread(read_raw_lines(spark, paths), 5).rdd.getNumPartitions() == 5
+    with_files = read_raw_lines(spark, f"{tmp_path}/jan,{tmp_path}/feb", with_files=True).collect()
+    assert sorted(r.file_path.rsplit("/", 2)[1] for r in with_files) == ["d-01", "d-01", "d-02", "d-09"]
+    assert {r.file_path.rsplit("/", 1)[1]: r.file_size for r in with_files}["part.json"] == (other / "part.json").stat().st_size
+
+
+def test_spread_follows_the_size_of_files(spark, tmp_path):
+    spark.range(2000).selectExpr("repeat(cast(id as string), 50) as value").coalesce(1).write.text(str(tmp_path / "t"))
+    lines = read_raw_lines(spark, str(tmp_path / "t"))
+    size = scan_bytes(lines)
+    assert abs(size - sum(f.stat().st_size for f in (tmp_path / "t").glob("part-*"))) < 100
+    least = 2 * spark.sparkContext.defaultParallelism
+    assert spread(lines).rdd.getNumPartitions() == least
+    assert spread(lines, task_bytes=size // 100).rdd.getNumPartitions() in (100, 101)
+    assert spread(lines.limit(5), lines, 3.0, task_bytes=size // 100).rdd.getNumPartitions() in (300, 301, 303)
 
 
 def test_typed_posts_and_json_lines(spark, tmp_path):

@@ -31,19 +31,16 @@ def test_stage_goes_to_the_shared_folder(spark):
     assert all(f.replace("file://", "").startswith(folder.replace("file:", "")) for f in staged.inputFiles())
 
 
-def test_shared_folder_is_required_on_a_cluster():
-    class Conf:
-        def get(self, key, default=None):
-            return default
-
-    class Context:
-        master = "spark://host:7077"
-
+def test_shared_folder_must_be_known():
     class Session:
-        conf, sparkContext = Conf(), Context()
+        conf: dict = {}
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Session())
+    Session.conf = {"spark.sql.warehouse.dir": "hdfs://w/"}
+    assert session.shared_dir(Session()) == "hdfs://w/stages"
+    Session.conf = {"spark.sql.warehouse.dir": "hdfs://w/", "spark.checkpoint.dir": "hdfs://c"}
+    assert session.shared_dir(Session()) == "hdfs://c"
 
 
 def test_months(spark, make_posts, tmp_path):

@@ -7,7 +7,7 @@ from topicmill.constants import CREATED_AT_PATTERN
 
 
 def created_at_seconds(created_at: Column) -> Column:
-    """Unix seconds of e.g. `Thu Jan 31 12:58:06 +0000 2013`; null if malformed.
+    """Unix seconds of e.g. `Mon Mar 04 05:06:07 +0000 2019`; null if malformed.
 
     The weekday is skipped: it carries no information and Spark's formatter
     does not parse it. The stamp holds its own offset, so the session time zone

@@ -132,16 +132,18 @@ class ChiSquareTopFeatures(Estimator, DefaultParamsReadable, DefaultParamsWritab
         entries = labelled.select("label", F.inline(vector_entries(F.col(features))))
         return chi_square_scores(entries.withColumnRenamed("value", "cnt"), labelled)
 
+    def best(self, dataset: DataFrame, limit: int) -> DataFrame:
+        """The best `limit` features: `idx`, by `statistic` also its value and `dof`."""
+        if self.getOrDefault(self.rankBy) == "statistic":
+            return top_features(self.scores(dataset), limit)
+        features, label = self.getOrDefault(self.featuresCol), self.getOrDefault(self.labelCol)
+        tests = ChiSquareTest.test(dataset.select(features, label), features, label, flatten=True)
+        order = ["pValue", F.desc(F.round("statistic", 9)), "featureIndex"]
+        return tests.orderBy(*order).limit(limit).select(F.col("featureIndex").alias("idx"))
+
     def rank(self, dataset: DataFrame, limit: int) -> list[int]:
         """Indices of the best `limit` features, best first."""
-        if self.getOrDefault(self.rankBy) == "statistic":
-            best = top_features(self.scores(dataset), limit).select("idx")
-        else:
-            features, label = self.getOrDefault(self.featuresCol), self.getOrDefault(self.labelCol)
-            tests = ChiSquareTest.test(dataset.select(features, label), features, label, flatten=True)
-            order = ["pValue", F.desc(F.round("statistic", 9)), "featureIndex"]
-            best = tests.orderBy(*order).limit(limit).select("featureIndex")
-        return [row[0] for row in best.collect()]
+        return [row["idx"] for row in self.best(dataset, limit).select("idx").collect()]
 
     def slicer(self, ranked: list[int]) -> SelectedFeatures:
         keep = sorted(ranked[: self.getOrDefault(self.numTopFeatures)])

@@ -56,6 +56,12 @@ def _frequency_bin() -> Column:
     return F.when(tf <= _EXACT_BINS, tf).otherwise(log_bin)
 
 
+def floor_of(blocks: Iterable[str], min_df: dict[str, int] | None = None) -> Column:
+    """Least number of posts that a row's block asks of a token."""
+    floors = MIN_DF | (min_df or {})
+    return reduce(lambda acc, b: F.when(F.col("block") == b, F.lit(floors[b])).otherwise(acc), blocks, F.lit(1))
+
+
 def fit_vocabularies(
     posts: DataFrame,
     min_df: dict[str, int] | None = None,
@@ -71,8 +77,7 @@ def fit_vocabularies(
     tokens from that bin upwards are ranked.
     """
     blocks = list(blocks)
-    floors = MIN_DF | (min_df or {})
-    least = reduce(lambda acc, b: F.when(F.col("block") == b, F.lit(floors[b])).otherwise(acc), blocks, F.lit(1))
+    least = floor_of(blocks, min_df)
     frequent = token_statistics(posts, blocks).where(F.col("df") >= least).withColumn("_bin", _frequency_bin())
 
     above = Window.partitionBy("block").orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
@@ -91,17 +96,21 @@ def fit_vocabularies(
     return ranked.where(F.col("idx") < vocab_size).select("block", "token", "df", "tf", "idx")
 
 
+def block_offsets(vocabularies: DataFrame) -> DataFrame:
+    """`(block, offset)`: first assembled index of each block, five rows at most."""
+    place = F.array_position(F.array(*[F.lit(b) for b in BLOCKS]), F.col("block"))
+    sizes = vocabularies.groupBy("block").agg(F.count("*").alias("size")).withColumn("place", place)
+    before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select("block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+
+
 def feature_names(vocabularies: DataFrame) -> DataFrame:
     """Name every assembled feature: `(global_idx, block, idx, token)`.
 
     Offsets follow the assembly order. At most five vocabularies of
     `vocab_size` tokens come in; the sizes are one row per block.
     """
-    place = F.array_position(F.array(*[F.lit(b) for b in BLOCKS]), F.col("block"))
-    sizes = vocabularies.groupBy("block").agg(F.count("*").alias("size")).withColumn("place", place)
-    before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    named = vocabularies.join(F.broadcast(offsets), "block")
+    named = vocabularies.join(F.broadcast(block_offsets(vocabularies)), "block")
     return named.select((F.col("idx") + F.col("offset")).cast("long").alias("global_idx"), "block", "idx", "token")
 
 
@@ -175,16 +184,31 @@ def long_counts(vectors: DataFrame, column: str, *keep: str) -> DataFrame:
     return entries.withColumnRenamed("value", "cnt")
 
 
+def first_rows(rows: DataFrame, key: str = "tweet_id") -> DataFrame:
+    """One row per key: the first in the order of its columns, vectors by entries.
+
+    Which row stays depends on the rows alone, never on their order or partitions.
+    The aggregate combines on the map side, so a hot key is one row per task.
+    """
+    vectors = {f.name for f in rows.schema if f.dataType.typeName() == "vectorudt"}
+    others = [c for c in rows.columns if c != key]
+    if not others:
+        return rows.distinct()
+    order = F.struct(*[vector_entries(F.col(c)) if c in vectors else F.col(c) for c in others])
+    return rows.groupBy(key).agg(F.min_by(F.struct(*others), order).alias("_row")).select(key, "_row.*").select(*rows.columns)
+
+
 def join_blocks(blocks: list[DataFrame], key: str = "tweet_id") -> DataFrame:
     """Inner-join feature tables on their key.
 
     Every table is exchanged once: the result of each join stays partitioned by
-    the key. Of a repeated key the first table keeps all rows and the others one,
-    so a key that occurs k times gives k rows. When all blocks come from one
-    table, `feature_model` needs no join at all.
+    the key; tables from `write_bucketed` by that key are not exchanged at all. Of a
+    repeated key the first table keeps all rows and the others their first one (see
+    `first_rows`), so a key that occurs k times gives k rows. When all blocks come
+    from one table, `feature_model` needs no join at all.
     """
     first, *others = blocks
-    return reduce(lambda left, right: left.join(right.dropDuplicates([key]), key), others, first)
+    return reduce(lambda left, right: left.join(first_rows(right, key), key), others, first)
 
 
 def with_labels(features: DataFrame, labels: DataFrame, key: str = "tweet_id") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicmill.constants import LANGUAGES
+from topicmill.functions.hashing import uniform_from_id
 
 # The batch functions below travel with the job: executors need numpy and
 # pandas, but not this package.
@@ -84,6 +85,13 @@ def trigram_counts(labelled: DataFrame, text_col: str, lang_col: str, languages:
     return partial.groupBy("lang", "bucket").agg(F.sum("cnt").alias("cnt")).where("cnt > 0")
 
 
+def held_out_split(labelled: DataFrame, id_col: str, held_out: float = 0.2, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Rows to train on and rows to measure on, told apart by a hash of the id: the
+    same in every run and under every partitioning, and no row is in both."""
+    drawn = uniform_from_id(F.col(id_col), seed)
+    return labelled.where(drawn >= held_out), labelled.where(drawn < held_out)
+
+
 class LanguageFilter:
     """Learns from rows with a known language, then keeps posts of one language.
 
@@ -142,6 +150,12 @@ class LanguageFilter:
         """Posts detected as `lang`, columns unchanged."""
         return self.detect(posts, text_col).where(F.col("detected_lang") == lang).select(*posts.columns)
 
+    def confusion(self, labelled: DataFrame, text_col: str = "term", lang_col: str = "lang") -> DataFrame:
+        """`(lang, detected_lang, text_count)` over labelled rows, such as held-out ones."""
+        rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+        found = self.detect(rows, "text")
+        return found.groupBy("lang", "detected_lang").agg(F.count("*").alias("text_count"))
+
     def save(self, spark: SparkSession, path: str, mode: str = "errorifexists") -> None:
         spark.createDataFrame(self.counts, COUNTS_SCHEMA).write.mode(mode).parquet(path)
 

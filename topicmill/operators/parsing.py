@@ -36,14 +36,16 @@ def _is_whole(line: Column, objects: Column, mark: Column) -> Column:
 
 
 def with_records(lines: DataFrame, schema: str = RAW_POST) -> DataFrame:
-    """`value`, the record's fields, and `is_object`; each line is parsed once.
+    """`lines`, the fields of the record in `value`, and `is_object`; each line is
+    parsed once.
 
     Generating the parsed line, rather than projecting it, keeps filters above the
     parser; pushed below, they would parse every line again.
     """
-    parsed = lines.select("value", F.inline_outer(F.array(_parsed(F.col("value"), schema))))
+    parsed = lines.select(*lines.columns, F.inline_outer(F.array(_parsed(F.col("value"), schema))))
     whole = _is_whole(F.col("value"), F.col("all"), F.col("mark"))
-    return parsed.select("value", whole.alias("is_object"), F.col("all")[0].alias("_r")).select("value", "is_object", "_r.*")
+    parsed = parsed.select(*lines.columns, whole.alias("is_object"), F.col("all")[0].alias("_r"))
+    return parsed.select(*lines.columns, "is_object", "_r.*")
 
 
 def decode(line: Column | str, schema: str) -> Column:
@@ -57,6 +59,12 @@ def is_object(line: Column) -> Column:
     return _framed(line, "_none string")[1]
 
 
+def close_object(line: Column) -> Column:
+    """The line with a brace behind it where that makes it one JSON object."""
+    closed = F.concat(line, F.lit("}"))
+    return F.when(is_object(closed), closed).otherwise(line)
+
+
 def long_lines(lines: DataFrame, min_length: int = MIN_LINE_LENGTH, column: str = "value") -> DataFrame:
     """Lines of more than `min_length` characters."""
     return lines.where(F.length(column) > min_length)
@@ -112,27 +120,29 @@ def parse_posts(
     return posts.repartition(num_partitions) if num_partitions else posts
 
 
-def rejected_lines(lines: DataFrame, min_length: int = MIN_LINE_LENGTH, lang: str = "en") -> DataFrame:
-    """`(reason, line_count)` of the lines that `parse_posts` leaves out.
+def rejection(min_length: int = MIN_LINE_LENGTH, lang: str = "en") -> Column:
+    """Why a line of `with_records` gives no post; null where it does.
 
     Reasons in the order of the tests: `short`, `malformed`, `language` (another
     or none), `missing` (a required attribute is absent).
     """
-    record = with_records(lines.select("value"))
     short = ~F.coalesce(F.length("value") > min_length, F.lit(False))
     missing = None
     posts = {c: e for c, e in zip(POST_COLUMNS, flatten())}
     for name in REQUIRED:
         missing = posts[name].isNull() if missing is None else missing | posts[name].isNull()
-    reason = (
+    return (
         F.when(short, "short")
         .when(~F.col("is_object"), "malformed")
         .when(~F.coalesce(F.col("lang") == lang, F.lit(False)), "language")
         .when(missing, "missing")
     )
-    return record.select(reason.alias("reason")).where("reason is not null").groupBy("reason").agg(
-        F.count("*").alias("line_count")
-    )
+
+
+def rejected_lines(lines: DataFrame, min_length: int = MIN_LINE_LENGTH, lang: str = "en") -> DataFrame:
+    """`(reason, line_count)` of the lines that `parse_posts` leaves out."""
+    reasons = with_records(lines.select("value")).select(rejection(min_length, lang).alias("reason"))
+    return reasons.where("reason is not null").groupBy("reason").agg(F.count("*").alias("line_count"))
 
 
 def typed_posts(records: DataFrame) -> DataFrame:

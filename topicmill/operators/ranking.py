@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicmill.session import stage
+
 
 def rank_predictions(predictions: DataFrame, score_col: str = "score", id_col: str = "tweet_id") -> DataFrame:
     """Highest score first, equal scores by id (a distributed range sort)."""
@@ -17,54 +18,40 @@ def top_k(predictions: DataFrame, k: int, score_col: str = "score", id_col: str
     return rank_predictions(predictions, score_col, id_col).limit(k)
 
 
-def _score_buckets(rows: DataFrame, score_col: str, buckets: int) -> DataFrame:
-    """Add `_bucket`, which grows with the score and holds about equal shares.
-
-    The cuts are approximate quantiles, at most `buckets` numbers. Any cuts give
-    the same totals; good ones only even out the tasks.
-    """
-    probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = rows.approxQuantile(score_col, probabilities, 1.0 / (4 * buckets)) if probabilities else []
-    inner = sorted({c for c in cuts if c not in (float("-inf"), float("inf"))})
-    splits = [float("-inf"), *inner, float("inf")]
-    if len(splits) < 3:
-        splits.insert(1, 0.0)
-    return Bucketizer(splits=splits, inputCol=score_col, outputCol="_bucket", handleInvalid="keep").transform(rows)
-
-
 def threshold_totals(
     rows: DataFrame, score_col: str = "score", label_col: str = "label", buckets: int | None = None
 ) -> DataFrame:
     """Per distinct score: `pos`, `n` and their running totals from the top.
 
-    A window over all scores would be one task. Instead scores fall into
-    quantile buckets, as many as there are shuffle partitions; each bucket sums by
-    itself and adds the total of the buckets above it. A score that is null or not
-    a number has no place in a ranking: it raises an error.
+    A window over all scores would be one task. Instead the totals per score are
+    written in ranges of scores, `buckets` of them (the number of shuffle partitions
+    by default); each range sums by itself and adds the totals of the ranges above
+    it, one row per range. `rows` is read once. A score that is null or not a number
+    has no place in a ranking: it raises an error.
     """
-    buckets = buckets or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     score = F.col(score_col).cast("double")
     wrong = score.isNull() | F.isnan(score)
     score = F.when(wrong, F.raise_error(F.lit("a score is null or NaN")).cast("double")).otherwise(score)
     scored = rows.select(score.alias("score"), F.col(label_col).cast("double").alias("label"))
-    grouped = (
-        _score_buckets(scored, "score", buckets)
-        .groupBy("_bucket", "score")
-        .agg(F.sum("label").alias("pos"), F.count("*").alias("n"))
-    )
-    higher = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    grouped = scored.groupBy("score").agg(F.sum("label").alias("pos"), F.count("*").alias("n"))
+    # Written before they are ranged: the bounds of ranges are drawn in a pass of their own.
+    grouped = stage(grouped, "score_totals")
+    wanted = buckets or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = grouped.repartitionByRange(wanted, F.desc("score")).withColumn("_range", F.spark_partition_id())
+    ranged = stage(ranged, "score_ranges")
+    higher = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        grouped.groupBy("_bucket")
+        ranged.groupBy("_range")
         .agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
         .select(
-            "_bucket",
+            "_range",
             F.coalesce(F.sum("pos").over(higher), F.lit(0.0)).alias("pos_above"),
             F.coalesce(F.sum("n").over(higher), F.lit(0)).alias("n_above"),
         )
     )
-    within = Window.partitionBy("_bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("_range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        grouped.join(F.broadcast(offsets), "_bucket")
+        ranged.join(F.broadcast(offsets), "_range")
         .withColumn("running_pos", F.col("pos_above") + F.sum("pos").over(within))
         .withColumn("running_n", F.col("n_above") + F.sum("n").over(within))
         .select("score", "pos", "n", "running_pos", "running_n")

@@ -134,14 +134,17 @@ def split_counts(posts: DataFrame) -> DataFrame:
     )
 
 
-def drop_duplicate_content(posts: DataFrame, content: list[str], id_col: str = "tweet_id") -> DataFrame:
+def drop_duplicate_content(
+    posts: DataFrame, content: list[str], id_col: str = "tweet_id", keep: list[str] | None = None
+) -> DataFrame:
     """Of posts equal in `content`, keep the one with the lowest id.
 
     Vectors are compared by their entries, so a dense and a sparse form of the
     same counts are equal. Of equal content and equal id the row with the lowest
-    hash of its other columns stays. The key is a 256-bit digest. A narrow
-    aggregate over key and id, which combines on the map side, finds the row to
-    keep; whole rows are moved once, and only where they are that row.
+    hash of its other columns stays. The key is a 256-bit digest. One aggregate
+    carries the row to keep: posts are read, cleaned and hashed once, and a group of
+    copies that holds a third of all rows leaves each task as one row. `keep` names
+    the columns to return, all by default; only these are moved.
     """
     vector_like = {f.name for f in posts.schema if f.dataType.typeName() == "vectorudt"}
     parts = [
@@ -150,20 +153,12 @@ def drop_duplicate_content(posts: DataFrame, content: list[str], id_col: str = "
     ]
     # A length before each part keeps ("ab", "c") apart from ("a", "bc"); a null has none.
     framed = [F.concat_ws(":", F.coalesce(F.length(p).cast("string"), F.lit("-")), p) for p in parts]
-    key = F.sha2(F.concat_ws("|", *framed), 256)
+    key = F.unhex(F.sha2(F.concat_ws("|", *framed), 256))
     others = [vector_entries(F.col(c)) if c in vector_like else F.col(c) for c in posts.columns]
-    keyed = posts.withColumns({"_key": key, "_rest": F.xxhash64(*others)})
-    first = F.min(F.struct(F.col(id_col).alias("id"), F.col("_rest").alias("rest"))).alias("_first")
-    least = keyed.select("_key", id_col, "_rest").groupBy(F.col("_key").alias("_k")).agg(first)
-    chosen = (
-        (F.col("_key") == F.col("_k"))
-        & F.col(id_col).eqNullSafe(F.col("_first.id"))
-        & (F.col("_rest") == F.col("_first.rest"))
-    )
-    # Rows equal in all columns are still there as often as they came.
-    kept = keyed.join(least, chosen, "left_semi")
-    once = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
-    return kept.withColumn("_n", once).where("_n = 1").select(*posts.columns)
+    kept = keep or posts.columns
+    order = F.struct(F.col(id_col).alias("id"), F.xxhash64(*others).alias("rest"))
+    keyed = posts.select(key.alias("_key"), order.alias("_order"), F.struct(*kept).alias("_row"))
+    return keyed.groupBy("_key").agg(F.min_by("_row", "_order").alias("_row")).select("_row.*")
 
 
 def tag_and_union(parts: dict[str, DataFrame], column: str = "type") -> DataFrame:

@@ -20,7 +20,7 @@ from topicmill.operators.language import LanguageFilter
 from topicmill.operators.parsing import parse_posts
 from topicmill.operators.sampling import stratified_sample
 from topicmill.session import stage
-from topicmill.sources.posts import read_raw_lines
+from topicmill.sources.posts import GZIP_EXPANSION, read_raw_lines, spread
 from topicmill.sources.sinks import write_monthly
 
 
@@ -34,12 +34,15 @@ def prepare_posts(
 ) -> None:
     """Raw files to month folders of parsed posts in one language.
 
-    Decoding, flattening and both language filters are one narrow stage; the
-    only exchange is the one that sizes the output files.
+    Decoding and flattening run where the lines are read and throw most bytes away.
+    Before the costly language filter the posts are dealt over as many tasks as the
+    files' size asks for, since a gzip file is one task whatever its size. The other
+    exchange sizes the output files.
     """
-    posts = parse_posts(read_raw_lines(spark, paths), min_length, lang)
+    lines = read_raw_lines(spark, paths)
+    posts = parse_posts(lines, min_length, lang)
     if language_filter is not None:
-        posts = language_filter.keep(posts, lang)
+        posts = language_filter.keep(spread(posts, lines, GZIP_EXPANSION), lang)
     write_monthly(posts, output)
 
 

@@ -21,15 +21,17 @@ from topicmill.functions import (
     tokens,
     without_stop_words,
 )
+from topicmill.functions.time import year_month
 from topicmill.functions.vectors import bare
 from topicmill.operators import features as feats
-from topicmill.operators import labelling, parsing, ranking, sampling, selection, splitting
+from topicmill.operators import labelling, longform, parsing, quarantine, ranking, sampling, splitting, topics
 from topicmill.operators.cleaning import clean_posts
-from topicmill.operators.language import LanguageFilter
+from topicmill.operators.language import LanguageFilter, held_out_split
 from topicmill.plans import flow
 from topicmill.session import stage, stage_path
 from topicmill.sources import sinks, testdata
-from topicmill.sources.posts import spread
+from topicmill.sources.buckets import write_bucketed
+from topicmill.sources.posts import GZIP_EXPANSION, folder_of, read_posts_json, read_raw_lines, spread
 from topicmill.sources.topics import topic_tags
 
 # The document-frequency floors of the test tables, which are small.
@@ -38,6 +40,10 @@ NEGATIVE_SHARE = {"train": 0.5, "valid": 0.75}
 TOP_K = 100
 NUM_TOP = 50
 NUM_FOLDS = 5
+# Tokens that are joined by broadcast in the long form; small, so that the test
+# tables go both ways.
+HEAVY = 50
+MONTHS = ("1994-11", "1995-02")
 
 posts = testdata.posts
 raw_posts = testdata.raw_posts
@@ -102,6 +108,62 @@ def monthly_counts(spark, sf_dir):
     )
 
 
+def json_rescan(spark, sf_dir):
+    """Posts written as JSON lines and scanned again."""
+    path = stage_path(spark, "posts_json")
+    sinks.write_json(posts(spark, sf_dir), path)
+    return read_posts_json(spark, path)
+
+
+def _month_layout(spark, sf_dir):
+    path = stage_path(spark, "dated_posts")
+    sinks.write_monthly(testdata.dated_posts(spark, sf_dir), path)
+    return path
+
+
+def month_volume(spark, sf_dir):
+    """Posts per year and month, from the folders of the layout."""
+    return sinks.month_volume(sinks.read_months(spark, _month_layout(spark, sf_dir)))
+
+
+def month_range(spark, sf_dir):
+    """The posts of four months across a year's end; the other folders are not read."""
+    months = sinks.read_months(spark, _month_layout(spark, sf_dir), *MONTHS)
+    return months.select("tweet_id", "create_time", "year_month")
+
+
+def months_rewritten(spark, sf_dir):
+    """The layout after four months were cleaned of posts by every third user."""
+    path = _month_layout(spark, sf_dir)
+    months = sinks.read_months(spark, path, *MONTHS).where(F.col("from_id").cast("long") % 3 != 0)
+    sinks.rewrite_months(stage(months.drop("year_month"), "cleaned_months"), path)
+    return sinks.read_months(spark, path).groupBy("year_month").agg(
+        F.count("*").alias("post_count"), F.count_distinct("from_id").alias("user_count")
+    )
+
+
+def _raw_folders(spark, sf_dir):
+    """Raw lines as gzip files in folders two levels deep, by the post's id."""
+    post = F.regexp_extract("value", '"id":"?([0-9]+)', 1).cast("long")
+    lines = raw_posts(spark, sf_dir).withColumns({"part": F.pmod(post, F.lit(2)), "day": F.pmod(post, F.lit(5))})
+    path = stage_path(spark, "raw_folders")
+    writer = lines.repartition("part", "day").write.option("compression", "gzip")
+    writer.partitionBy("part", "day").text(path)
+    return path
+
+
+def gzip_intake(spark, sf_dir):
+    """Gzip files under globs and a comma list to posts, counted by source folder."""
+    path = _raw_folders(spark, sf_dir)
+    lines = read_raw_lines(spark, f"{path}/part=0/day=[0-2],{path}/part=1/*", with_files=True)
+    dealt = spread(lines, expansion=GZIP_EXPANSION)
+    posted = (quarantine.rejection_of(dealt, min_length=0)).withColumn("folder", folder_of(F.col("file_path")))
+    place = [F.regexp_extract("folder", f"{name}=([0-9]+)", 1).cast("int").alias(name) for name in ("part", "day")]
+    return posted.groupBy(*place).agg(
+        F.count("*").alias("line_count"), F.count(F.when(F.col("reason") == quarantine.ACCEPTED, 1)).alias("post_count")
+    )
+
+
 # --- parsing ------------------------------------------------------------------
 
 
@@ -131,6 +193,30 @@ def rejected_lines(spark, sf_dir):
     return parsing.rejected_lines(raw_posts(spark, sf_dir), min_length=0)
 
 
+_ID = '"id":"?([0-9]+)'
+
+
+def _by_line(spark, path):
+    """`(tweet_id, reason)` of every line of an ingest, accepted ones included."""
+    taken = quarantine.accepted_posts(spark, path).select("tweet_id", F.lit(quarantine.ACCEPTED).alias("reason"))
+    left = quarantine.rejected_lines(spark, path).select(F.regexp_extract("value", _ID, 1).alias("tweet_id"), "reason")
+    return taken.unionByName(left)
+
+
+def quarantined_lines(spark, sf_dir):
+    path = stage_path(spark, "ingest")
+    quarantine.ingest(raw_posts(spark, sf_dir), path, min_length=0)
+    return _by_line(spark, path)
+
+
+def reingested_lines(spark, sf_dir):
+    """Malformed lines after those that only lack their last brace got it back."""
+    path, mended = stage_path(spark, "ingest"), stage_path(spark, "ingest_mended")
+    quarantine.ingest(raw_posts(spark, sf_dir), path, min_length=0)
+    quarantine.reingest(spark, path, mended, parsing.close_object, min_length=0)
+    return _by_line(spark, mended)
+
+
 def parse_created_at(spark, sf_dir):
     events = testdata.table(spark, sf_dir, "events")
     stamp = F.date_format("ts", "EEE MMM dd HH:mm:ss '+0000' yyyy")
@@ -138,11 +224,18 @@ def parse_created_at(spark, sf_dir):
 
 
 def lang_filter(spark, sf_dir):
-    docs = spread(testdata.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), testdata.SPREAD)
+    docs = spread(testdata.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     model = LanguageFilter.train(docs, "text", "lang")
     return model.keep(docs, "en", "text").select("doc_id", "lang")
 
 
+def lang_confusion(spark, sf_dir):
+    """What the language filter says of documents it was not trained on."""
+    docs = spread(testdata.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    seen, unseen = held_out_split(docs, "doc_id")
+    return LanguageFilter.train(seen, "text", "lang").confusion(unseen, "text", "lang")
+
+
 # --- cleaning and tokens ---------------------------------------------------------
 
 
@@ -173,7 +266,7 @@ def strip_urls_(spark, sf_dir):
 
 
 def tokenize(spark, sf_dir):
-    docs = spread(testdata.table(spark, sf_dir, "documents").select("doc_id", "text"), testdata.SPREAD)
+    docs = spread(testdata.table(spark, sf_dir, "documents").select("doc_id", "text"))
     words = docs.select("doc_id", tokens("text").alias("words"))
     return words.select("doc_id", F.size("words").alias("word_count"), F.array_join("words", "|").alias("words"))
 
@@ -269,7 +362,7 @@ def positive_counts(spark, sf_dir):
 
 def dedup_content(spark, sf_dir):
     content = ["term", "hashtag", "mention", "from_user"]
-    return splitting.drop_duplicate_content(cleaned(spark, sf_dir), content).select("tweet_id", "from_user")
+    return splitting.drop_duplicate_content(cleaned(spark, sf_dir), content, keep=["tweet_id", "from_user"])
 
 
 def dedup_vectors(spark, sf_dir):
@@ -278,7 +371,7 @@ def dedup_vectors(spark, sf_dir):
     vectors = feats.feature_model(table, MIN_DF, blocks=C.DEDUP_BLOCKS, assemble=False).transform(table)
     compared = [f"{b}_features" for b in C.DEDUP_BLOCKS]
     vectors = vectors.select("tweet_id", *[bare(c) for c in compared])
-    return splitting.drop_duplicate_content(vectors, compared).select("tweet_id")
+    return splitting.drop_duplicate_content(vectors, compared, keep=["tweet_id"])
 
 
 def union_typed(spark, sf_dir):
@@ -287,6 +380,34 @@ def union_typed(spark, sf_dir):
     return splitting.tag_and_union(parts)
 
 
+def _several_topics(spark, sf_dir):
+    """The narrow fact table, the dictionary, and its periods, each written once."""
+    fact = stage(cleaned(spark, sf_dir).select("tweet_id", "create_time", "hashtag"), "post_hashtags")
+    names = stage(testdata.several_topics(fact), "topic_names")
+    periods = stage(topics.topic_periods(topics.topic_birthdays(fact, names)), "topic_periods")
+    return fact, names, periods
+
+
+def topics_periods(spark, sf_dir):
+    return _several_topics(spark, sf_dir)[2]
+
+
+def topics_cutoffs(spark, sf_dir):
+    return topics.topic_cutoffs(_several_topics(spark, sf_dir)[2])
+
+
+def topics_split(spark, sf_dir):
+    """Labels and leakage-free splits of all topics, from one pass over the posts."""
+    return topics.split_all_topics(*_several_topics(spark, sf_dir)).select("topic", "tweet_id", "label", "split")
+
+
+def leakage_bucketed(spark, sf_dir):
+    """The guard on a table in buckets of id and split: nothing is exchanged."""
+    split, ranked = _split_tables(spark, sf_dir)
+    table = write_bucketed(split, "split_posts", "tweet_id", "split")
+    return splitting.drop_leaking(table, ranked).select("tweet_id", "split", "label")
+
+
 # --- samples -----------------------------------------------------------------------
 
 
@@ -327,10 +448,7 @@ def assemble_vectors(spark, sf_dir):
     return long.withColumnRenamed("idx", "global_idx")
 
 
-def join_feature_blocks(spark, sf_dir):
-    table = staged_posts(spark, sf_dir)
-    vectors = feats.feature_model(table, MIN_DF, assemble=False).transform(table)
-    vectors = stage(vectors.select("tweet_id", *[bare(f"{b}_features") for b in feats.BLOCKS]), "feature_blocks")
+def _block_summaries(vectors):
     blocks = []
     for block in feats.BLOCKS:
         entries = feats.vector_entries(F.col(f"{block}_features"))
@@ -338,7 +456,42 @@ def join_feature_blocks(spark, sf_dir):
         blocks.append(
             vectors.select("tweet_id", F.size(entries).alias(f"{block}_nnz"), total.alias(f"{block}_total"))
         )
-    return feats.join_blocks(blocks)
+    return blocks
+
+
+def _block_vectors(spark, sf_dir):
+    table = staged_posts(spark, sf_dir)
+    vectors = feats.feature_model(table, MIN_DF, assemble=False).transform(table)
+    return vectors.select("tweet_id", *[bare(f"{b}_features") for b in feats.BLOCKS])
+
+
+def join_feature_blocks(spark, sf_dir):
+    return feats.join_blocks(_block_summaries(stage(_block_vectors(spark, sf_dir), "feature_blocks")))
+
+
+def blocks_bucketed(spark, sf_dir):
+    """The five blocks as bucketed tables: four joins, nothing exchanged."""
+    vectors = stage(_block_vectors(spark, sf_dir), "feature_blocks")
+    tables = [write_bucketed(b, f"block{i}", "tweet_id") for i, b in enumerate(_block_summaries(vectors))]
+    return feats.join_blocks(tables)
+
+
+def long_counts(spark, sf_dir):
+    """Counts of the term block from a vocabulary that stays a table."""
+    table = staged_posts(spark, sf_dir)
+    vocabulary = stage(feats.fit_vocabularies(table, MIN_DF, blocks=["term"]), "vocabulary")
+    return longform.encode(table, vocabulary, ["term"], heavy=HEAVY).select("tweet_id", "idx", "cnt")
+
+
+def long_assembled(spark, sf_dir):
+    table = staged_posts(spark, sf_dir)
+    vocabularies = stage(feats.fit_vocabularies(table, MIN_DF), "vocabulary")
+    return longform.assemble(longform.encode(table, vocabularies, heavy=HEAVY), vocabularies)
+
+
+def vocab_cut(spark, sf_dir):
+    """What vocabularies of 100 tokens a block leave out."""
+    return longform.cut_tokens(cleaned(spark, sf_dir), MIN_DF, vocab_size=100)
 
 
 def features_with_label(spark, sf_dir):
@@ -350,19 +503,48 @@ def features_with_label(spark, sf_dir):
     return feats.long_counts(joined, "hashtag_features", "tweet_id", "label")
 
 
-def _chi_square(spark, sf_dir):
+def labels_bucketed(spark, sf_dir):
+    """Feature rows meet their labels bucket by bucket."""
+    table = stage(cleaned(spark, sf_dir).select("tweet_id", "create_time", "hashtag"), "post_hashtags")
+    model = feats.feature_model(table, MIN_DF, blocks=["hashtag"], assemble=False)
+    ids = labelling.topical_ids(labelling.explode_hashtags(table), tags(spark, sf_dir))
+    labels = write_bucketed(labelling.label_posts(table, ids).select("tweet_id", "label"), "labels", "tweet_id")
+    vectors = model.transform(table).select("tweet_id", bare("hashtag_features"))
+    joined = feats.with_labels(write_bucketed(vectors, "hashtag_vectors", "tweet_id"), labels)
+    return feats.long_counts(joined, "hashtag_features", "tweet_id", "label")
+
+
+def libsvm_roundtrip(spark, sf_dir):
+    """Labelled hashtag vectors written as LibSVM text by month and read back."""
+    table = stage(cleaned(spark, sf_dir).select("tweet_id", "create_time", "hashtag"), "post_hashtags")
+    vocabulary = stage(feats.fit_vocabularies(table, MIN_DF, blocks=["hashtag"]), "vocabulary")
+    model = feats.model_from_vocabularies(feats.collect_vocabularies(vocabulary), assemble=False)
+    ids = labelling.topical_ids(labelling.explode_hashtags(table), tags(spark, sf_dir))
+    vectors = model.transform(labelling.label_posts(table, ids))
+    path, month = stage_path(spark, "libsvm"), year_month(F.col("create_time"))
+    rows = vectors.select("label", bare("hashtag_features").alias("features"), month.alias("year_month"))
+    sinks.write_libsvm(rows, path, by="year_month")
+    again = sinks.read_libsvm(spark, path, model.stages[-1].getVocabSize())
+    entries = again.select(F.col("year_month").cast("string").alias("year_month"), "label", F.inline(feats.vector_entries(F.col("features"))))
+    return entries.groupBy("year_month", "label", "idx").agg(F.count("*").alias("row_count"), F.sum("value").alias("uses"))
+
+
+def _labelled_terms(spark, sf_dir):
     table = stage(_labelled(spark, sf_dir).select("term", "label"), "labelled_terms")
     model = feats.feature_model(table, MIN_DF, blocks=["term"], assemble=False)
-    counts = feats.long_counts(model.transform(table), "term_features", "label")
-    return selection.chi_square_scores(counts, table)
+    return model.transform(table).select("label", bare("term_features"))
 
 
 def chi_square_scores(spark, sf_dir):
-    return _chi_square(spark, sf_dir).select("idx", F.round("statistic", 6).alias("statistic"), "dof")
+    selector = learning.ChiSquareTopFeatures(featuresCol="term_features")
+    scores = selector.scores(_labelled_terms(spark, sf_dir))
+    return scores.select("idx", F.round("statistic", 6).alias("statistic"), "dof")
 
 
 def chi_square_top_n(spark, sf_dir):
-    best = selection.top_features(_chi_square(spark, sf_dir), NUM_TOP)
+    """What the selector keeps by default, with its scores."""
+    selector = learning.ChiSquareTopFeatures(numTopFeatures=NUM_TOP, featuresCol="term_features")
+    best = selector.best(_labelled_terms(spark, sf_dir), NUM_TOP)
     return best.select("idx", F.round("statistic", 6).alias("statistic"), "dof")
 
 
@@ -427,6 +609,23 @@ def train_score(spark, sf_dir):
     return scored.select("tweet_id", "label", F.col("score").between(0.0, 1.0).alias("is_share"), follows.alias("follows"))
 
 
+def saved_model_scores(spark, sf_dir):
+    """Texts scored by a chain of JVM and Python stages, before it was saved and
+    after it was loaded in another session."""
+    tables = _tables(spark, sf_dir)
+    slicer = learning.ChiSquareTopFeatures(numTopFeatures=200).fit(tables.combined)
+    classifier = LogisticRegression(featuresCol="selected", regParam=0.1, maxIter=20).fit(slicer.transform(tables.combined))
+    path = stage_path(spark, "model")
+    whole = learning.save_chain(path, tables.model, slicer, classifier)
+    texts = staged_posts(spark, sf_dir)
+    before = learning.score_rows(whole.transform(texts), "tweet_id")
+    fresh = spark.newSession()
+    again = learning.load_chain(path).transform(fresh.read.parquet(texts.inputFiles()[0].rsplit("/", 1)[0]))
+    after = stage(learning.score_rows(again, "tweet_id").withColumnRenamed("score", "_score"), "scores_again")
+    joined = before.join(spark.read.schema(after.schema).parquet(after.inputFiles()[0].rsplit("/", 1)[0]), "tweet_id")
+    return joined.select("tweet_id", (F.col("score") == F.col("_score")).alias("same_score"))
+
+
 def _ranked_documents(spark, sf_dir):
     """A model's place is taken by a score that SQL can repeat: the length."""
     scored = _scored_documents(spark, sf_dir).withColumns(
@@ -535,4 +734,23 @@ QUERIES = {
     "predictions_with_text": predictions_with_text,
     "cv_summary": cv_summary,
     "tuning_report": tuning_report,
+    "month_volume": month_volume,
+    "month_range": month_range,
+    "months_rewritten": months_rewritten,
+    "gzip_intake": gzip_intake,
+    "quarantined_lines": quarantined_lines,
+    "reingested_lines": reingested_lines,
+    "lang_confusion": lang_confusion,
+    "topics_periods": topics_periods,
+    "topics_cutoffs": topics_cutoffs,
+    "topics_split": topics_split,
+    "leakage_bucketed": leakage_bucketed,
+    "blocks_bucketed": blocks_bucketed,
+    "long_counts": long_counts,
+    "long_assembled": long_assembled,
+    "vocab_cut": vocab_cut,
+    "labels_bucketed": labels_bucketed,
+    "libsvm_roundtrip": libsvm_roundtrip,
+    "saved_model_scores": saved_model_scores,
+    "json_rescan": json_rescan,
 }

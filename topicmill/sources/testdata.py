@@ -6,7 +6,7 @@ are also written into the text with their marks, as in a real post.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicmill.operators.labelling import explode_hashtags
@@ -16,8 +16,8 @@ from topicmill.sources.posts import spread
 TAG_LENGTH = 12
 MENTION_LENGTH = 10
 TOPIC_SIZE = 20
-# Tasks that the documents' one file is dealt to.
-SPREAD = 16
+# Topics of the dictionary with several, and hashtags in it.
+TOPICS, TOPICS_SIZE = 3, 60
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +29,9 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Events fall to documents by their id modulo the number of documents; of a
     document's events the first in time counts, equal times by id. Documents
-    without an event have none.
+    without an event are of type `none`, by user 0 at time 0.
     """
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), SPREAD)
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     number = docs.select("doc_id").agg(F.count("*")).scalar()
     event = F.struct("ts", "event_id", "user_id", "event_type")
@@ -39,9 +39,10 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = first.select("_doc", "e.*")
     seconds = F.expr("cast(ts - timestamp_ntz'1970-01-01 00:00:00' as interval second)")
     words = F.split("text", "[^A-Za-z]+")
-    joined = docs.join(events, docs["doc_id"] == events["_doc"])
+    joined = docs.join(events, docs["doc_id"] == events["_doc"], "left")
     return (
-        joined.withColumn("seconds", F.floor(seconds.cast("decimal(20,6)")).cast("double"))
+        joined.withColumn("seconds", F.coalesce(F.floor(seconds.cast("decimal(20,6)")).cast("double"), F.lit(0.0)))
+        .fillna({"user_id": 0, "event_type": "none"})
         .withColumn("words", words)
         .withColumn("tags", F.filter("words", lambda w: F.length(w) >= TAG_LENGTH))
         .withColumn(
@@ -139,3 +140,30 @@ def topic_hashtags(all_posts: DataFrame) -> DataFrame:
     frequent = per_post.groupBy("each_hashtag").agg(F.count("*").alias("df"))
     top = frequent.orderBy(F.desc("df"), "each_hashtag").limit(TOPIC_SIZE)
     return top.select(F.lit("t1").alias("topic"), F.col("each_hashtag").alias("hashtag"), "df")
+
+
+def several_topics(all_posts: DataFrame) -> DataFrame:
+    """Topics `t1` to `t3`: the 60 hashtags found in most posts, dealt in turn."""
+    per_post = explode_hashtags(all_posts, "tweet_id").where(F.col("each_hashtag") != "").distinct()
+    frequent = per_post.groupBy("each_hashtag").agg(F.count("*").alias("df"))
+    top = frequent.orderBy(F.desc("df"), "each_hashtag").limit(TOPICS_SIZE)
+    place = F.row_number().over(Window.orderBy(F.desc("df"), "each_hashtag")) - 1
+    topic = F.concat(F.lit("t"), (place % TOPICS + 1).cast("string"))
+    return top.select(topic.alias("topic"), F.col("each_hashtag").alias("hashtag"))
+
+
+def dated_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One post per order, at the start of its day: several years of months."""
+    orders = table(spark, sf_dir, "orders")
+    days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date"))
+    columns = {
+        "create_time": (days * 86400).cast("double"),
+        "from_id": F.col("o_custkey").cast("string"),
+        "from_user": F.concat(F.lit("user"), F.col("o_custkey").cast("string")),
+        "hashtag": F.lower("o_orderpriority"),
+        "location": F.col("o_orderstatus"),
+        "mention": F.lit(""),
+        "term": F.col("o_orderstatus"),
+        "tweet_id": F.col("o_orderkey").cast("string"),
+    }
+    return orders.select(*[columns[name].alias(name) for name in POST_COLUMNS])
