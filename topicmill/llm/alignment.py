@@ -26,7 +26,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
 from itertools import chain, islice
@@ -38,7 +38,7 @@ import tiktoken
 import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from topicmill.llm.common import slices
 from topicmill.session import stage
@@ -49,10 +49,12 @@ SPACE_MARK = "▁"
 # Fixed value: how byte-level tokenizers of this kind cut a text before they merge.
 BYTE_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MOST_BROADCAST = 4_000_000
-CACHE = 1 << 18
+CACHE = 1 << 17
 CACHED_LENGTH = 48
 # Characters of new units that are encoded together.
 TOGETHER = 1 << 16
+# Bytes of text, and links, that a task handles at once.
+SLICE_TEXT, SLICE_LINKS = 1 << 20, 1 << 18
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -308,17 +310,19 @@ def aligned(docs: DataFrame, sides: Sides) -> DataFrame:
     """(row, n_a, n_b, n_groups, n_links, n_overlaps, groups_sha256, links) for the
     rows of `docs` (row, text). A link is `id of A * size of B + id of B`."""
     shared = docs.sparkSession.sparkContext.broadcast(sides)
+    small = len(sides.byte_tokens) * len(sides.piece_tokens) < 1 << 31
+    kind, place = (IntegerType(), pa.int32()) if small else (LongType(), pa.int64())
     schema = StructType(
-        [docs.schema["row"], *[StructField(n, LongType()) for n in _COUNTS], StructField("groups_sha256", StringType()), StructField("links", ArrayType(LongType()))]
+        [docs.schema["row"], *[StructField(n, LongType()) for n in _COUNTS], StructField("groups_sha256", StringType()), StructField("links", ArrayType(kind))]
     )
 
     def run(batches):
         aligner = _aligner(shared.value)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE_TEXT):
                 found, links = aligner.align(part.column(1).to_pylist())
                 ends = np.cumsum([0, *[len(x) // 8 for x in links]])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(links), np.int64)))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(links), np.int64)).cast(place))
                 columns = [pa.array(v, pa.string() if n == "groups_sha256" else pa.int64()) for n, v in found.items()]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns, lists], schema.fieldNames())
 
@@ -330,6 +334,16 @@ def pair_counts(found: DataFrame) -> DataFrame:
     return found.select(F.explode("links").alias("pair")).groupBy("pair").agg(F.count("*").alias("count"))
 
 
+def _by_links(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about `SLICE_LINKS` links, one row at least."""
+    ends = np.cumsum(batch.column(batch.num_columns - 1).value_lengths().to_numpy(zero_copy_only=False))
+    at, base = 0, 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, base + SLICE_LINKS, "right")))
+        yield batch.slice(at, stop - at)
+        at, base = stop, int(ends[stop - 1])
+
+
 def _scored_by_broadcast(found: DataFrame, counts: DataFrame, width: int) -> DataFrame:
     table = counts.toArrow()
     pairs, numbers = np.asarray(table.column(0)), np.asarray(table.column(1))
@@ -343,13 +357,14 @@ def _scored_by_broadcast(found: DataFrame, counts: DataFrame, width: int) -> Dat
         best = np.zeros(width, np.int64)
         np.maximum.at(best, pairs % width, numbers)
         for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            links = np.asarray(lists.flatten())
-            ends = np.cumsum([0, *lists.value_lengths().to_pylist()])
-            count = numbers[np.searchsorted(pairs, links)] if len(links) else np.empty(0, np.int64)
-            sums = [np.append(0, np.cumsum(x)) for x in (count == best[links % width], count)]
-            scores = [pa.array(s[ends[1:]] - s[ends[:-1]], pa.int64()) for s in sums]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *scores], schema.fieldNames())
+            for part in _by_links(batch):
+                lists = part.column(part.num_columns - 1)
+                links = np.asarray(lists.flatten())
+                ends = np.cumsum([0, *lists.value_lengths().to_pylist()])
+                count = numbers[np.searchsorted(pairs, links)] if len(links) else np.empty(0, np.int64)
+                sums = [np.append(0, np.cumsum(x)) for x in (count == best[links % width], count)]
+                scores = [pa.array(s[ends[1:]] - s[ends[:-1]], pa.int64()) for s in sums]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *scores], schema.fieldNames())
 
     return found.select(*[f.name for f in kept], "links").mapInArrow(run, schema)
 
