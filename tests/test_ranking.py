@@ -44,7 +44,7 @@ def test_buckets_do_not_change_running_totals(spark):
 def test_no_window_holds_all_scores(spark):
     plan = ranking.threshold_totals(table(spark, [(0.1, 1), (0.2, 0), (0.3, 1)]), buckets=2)
     text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert text.count("windowspecdefinition(_bucket") >= 2
+    assert text.count("windowspecdefinition(_range") >= 2
 
 
 def test_top_k_and_ties(spark):

@@ -7,6 +7,7 @@ from pyspark.ml.classification import LogisticRegression
 from topicmill import learning
 from topicmill.learning.selector import SelectedFeatures
 from topicmill.operators import features as feats
+from topicmill.session import stage
 
 FLOORS = {b: 1 for b in feats.BLOCKS}
 
@@ -15,7 +16,7 @@ FLOORS = {b: 1 for b in feats.BLOCKS}
 def fitted(make_posts):
     posts = make_posts([(i, i, f"tag{i % 4}", f"word{i % 6} word{i % 4} text") for i in range(80)])
     model = feats.feature_model(posts, FLOORS)
-    rows = model.transform(posts).selectExpr("tweet_id", "features", "cast(tweet_id % 4 = 0 as double) as label")
+    rows = stage(model.transform(posts).selectExpr("tweet_id", "features", "cast(tweet_id % 4 = 0 as double) as label"), "vectors")
     slicer = learning.ChiSquareTopFeatures(numTopFeatures=5).fit(rows)
     classifier = LogisticRegression(featuresCol="selected").fit(slicer.transform(rows))
     return posts, model, slicer, classifier

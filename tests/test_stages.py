@@ -61,10 +61,9 @@ def test_a_query_leaves_nothing(spark):
         assert folders(spark) == before
 
 
-def test_purge(spark, tmp_path):
-    fresh = spark.newSession()
-    fresh.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-    stage(fresh.range(3), "numbers")
+def test_purge(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path / "shared"))
+    stage(spark.range(3), "numbers")
     assert list((tmp_path / "shared").glob("topicmill/*/numbers-*"))
-    purge_stages(fresh)
+    purge_stages(spark)
     assert not list((tmp_path / "shared").glob("topicmill/*"))

@@ -22,7 +22,7 @@ def _framed(line: Column, schema: str) -> tuple[Column, Column]:
     can contain its own hash.
     """
     found = _parsed(line, schema)
-    return found["all"][0], _is_whole(line, found["all"], found["mark"])
+    return F.get(found["all"], F.lit(0)), _is_whole(line, found["all"], found["mark"])
 
 
 def _parsed(line: Column, schema: str) -> Column:
@@ -44,7 +44,7 @@ def with_records(lines: DataFrame, schema: str = RAW_POST) -> DataFrame:
     """
     parsed = lines.select(*lines.columns, F.inline_outer(F.array(_parsed(F.col("value"), schema))))
     whole = _is_whole(F.col("value"), F.col("all"), F.col("mark"))
-    parsed = parsed.select(*lines.columns, whole.alias("is_object"), F.col("all")[0].alias("_r"))
+    parsed = parsed.select(*lines.columns, whole.alias("is_object"), F.get("all", F.lit(0)).alias("_r"))
     return parsed.select(*lines.columns, "is_object", "_r.*")
 
 
