@@ -144,6 +144,42 @@ def test_mixing(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def _groups_that_touch(dims=32, members=150, spread=0.022, seed=11):
+    """Two tight groups with all members' lists full of each other, some of whose
+    members link across; and vectors far from all."""
+    rng = np.random.default_rng(seed)
+    one = np.eye(dims)[0]
+    two = 0.905 * one + np.sqrt(1 - 0.905**2) * np.eye(dims)[1]
+    tight = [c + spread * rng.standard_normal((members, dims)) for c in (one, two)]
+    return np.vstack([*tight, rng.standard_normal((100, dims))])
+
+
+def test_links_between_crowded_groups(spark):
+    vectors = _groups_that_touch()
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    true = (unit @ unit.T >= 0.9) & ~np.eye(len(unit), dtype=bool)
+    assert true[:150, 150:300].any() and not true[:150, 150:300].all()
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r for r in embedding_dedup.near_duplicates(df).collect()}
+    assert [found[i].n_links for i in range(len(unit))] == true.sum(1).tolist()
+    assert {found[i].component_id for i in range(300)} == {0}
+    assert all(found[i].component_id == i for i in range(300, 400) if not true[i].any())
+
+
+def test_failed_audit_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "audit", lambda *a: (100, 89))
+    monkeypatch.setattr(embedding_dedup, "MOST_ROUNDS", 2)
+    df = spark.createDataFrame([(i, [1.0, float(i % 7)]) for i in range(20)], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="89 of 100"):
+        embedding_dedup.near_duplicates(df)
+
+
+def test_vectors_of_other_lengths(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0]), (4, [1.0, 0.0, 0.0]), (5, [])]
+    found = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(tuple(r) for r in found) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True)]
+
+
 def test_near_duplicates(spark):
     rng = np.random.default_rng(3)
     rows, at = [], 0

@@ -7,7 +7,8 @@ longer than a slice is taken whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,29 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)
 
 
+def shielded(*needed: str, made: tuple[str, ...]) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+    """Lets an operator pass columns through whatever their names.
+
+    The operator sees the `needed` columns, and all others under names that it
+    never uses itself; they get their names back in its result, which is the given
+    columns in their order, then the `made` ones. Given columns named like a made
+    one are replaced. Plain columns, so that pruning goes on working.
+    """
+
+    def decorate(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(operator)
+        def run(table: DataFrame, *args, **options) -> DataFrame:
+            own = {*needed, *(v for k, v in options.items() if k.endswith("_col"))}
+            kept = [c for c in table.columns if c not in made]
+            inner = {c: c if c in own else f"_other{i}" for i, c in enumerate(kept)}
+            found = operator(table.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()]), *args, **options)
+            return found.select(*[F.col(n).alias(c) for c, n in inner.items()], *made)
+
+        return run
+
+    return decorate
+
+
 def row_key(*cols: str) -> list[Column]:
     """Two 64-bit hashes that tell rows apart by these columns, nulls included.
 

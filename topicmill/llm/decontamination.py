@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from topicmill.llm.common import ascii_lower, row_key
+from topicmill.llm.common import ascii_lower, row_key, shielded
 from topicmill.session import stage
 
 # What separates words, and the length of a window.
@@ -183,6 +183,7 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(spans, none, step, lambda acc: acc["n"])
 
 
+@shielded("doc_id", "text", made=("n_words", "n_hit", "n_items", "item_ids", "contaminated"))
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, anchors: int = ANCHORS) -> DataFrame:
     """`docs` with n_words, n_hit, n_items, item_ids and contaminated.
 

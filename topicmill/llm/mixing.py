@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from topicmill.llm.common import SPACE_WORD
+from topicmill.llm.common import SPACE_WORD, shielded
 from topicmill.session import stage
 
 # Weights of the sources in order, repeating.
@@ -92,6 +92,7 @@ def water_fill(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     return sources.withColumn("target", F.least(cap.cast("double"), level) if weight else cap.cast("double"))
 
 
+@shielded("doc_id", "source", "text", made=("size", "source_size", "target", "whole", "taken"))
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",

@@ -1,6 +1,7 @@
 """DuckDB SQL for the operators that SQL can express."""
 
 from topicmill.llm.mixing import BUCKETS, MAX_EPOCHS, SEED
+from topicmill.llm.oracle_joins import OP6, OP7, OP8
 from topicmill.llm.oracle_tables import OP11, OP12
 
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
@@ -139,6 +140,9 @@ from doc_words left join covered c using (doc_id) left join items i using (doc_i
 ORACLE = {
     "op2_decontamination": OP2,
     "op3_url_filter": OP3,
+    "op6_ngram_join": OP6,
+    "op7_embedding_dedup": OP7,
+    "op8_substring_dedup": OP8,
     "op9_warc": OP9,
     "op10_mixing": OP10,
     "op11_merkle_manifest": OP11,

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicmill.llm.common import ascii_lower
+from topicmill.llm.common import ascii_lower, shielded
 from topicmill.llm.components import components
 
 # Rules as (host, path, verdict).
@@ -113,6 +113,7 @@ def node_id(url: Column) -> Column:
     return F.xxhash64(F.lit("url"), url)
 
 
+@shielded("url", "html", made=("host", "path", "rule", "verdict", "component"))
 def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) -> DataFrame:
     """`pages` with host, path, rule, verdict and component.
 

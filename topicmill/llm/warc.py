@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicmill.llm.common import shielded
 from topicmill.session import stage_path
 
 SEGMENT_BYTES = 32 << 10
@@ -39,6 +40,7 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*parts), CONV32, BASE32)
 
 
+@shielded("page_id", "url", "html", made=("payload", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Adds payload, payload_bytes, payload_digest, record_type and refers_to.
 
