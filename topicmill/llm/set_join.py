@@ -49,6 +49,8 @@ FREQUENT = 64
 FREQUENT_LIMIT = 200_000
 # Shingles that a task counts at once when it looks for frequent ones.
 COUNTED_AT_ONCE = 2_000_000
+# Bytes of text that a task has arrays of at once: what bounds a Python worker.
+SLICE = 1 << 19
 # Rounds with pivots drawn anew, pivots per list, and comparisons per set and round.
 # They only save work: whatever they leave open is compared pair by pair.
 ROUNDS, PIVOTS, COMPARED = 1, 4, 3
@@ -135,7 +137,7 @@ def _summaries(docs: DataFrame, k: int) -> DataFrame:
             )
 
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 sets = Sets(part.column(1), k, np.empty(0, np.uint64))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -164,7 +166,7 @@ def _postings(docs: DataFrame, k: int, frequent: np.ndarray) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 sets = Sets(part.column(1), k, shared.value)
                 known = np.asarray(part.column(0).is_valid())
                 _, rows = np.unique(sets.key, return_index=True)
@@ -286,7 +288,7 @@ def _whole_sets(docs: DataFrame, members: DataFrame, ends: DataFrame, k: int, fo
         for batch in batches:
             place = np.asarray(batch.column(2)).astype(np.int64)
             hit = (shared.value[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)
-            for part in slices(batch.filter(pa.array(hit.astype(bool)))):
+            for part in slices(batch.filter(pa.array(hit.astype(bool))), limit=SLICE):
                 sets = Sets(part.column(1), k, np.empty(0, np.uint64))
                 value = (sets.value >> np.uint64(64 - 8 * np.dtype(form).itemsize)).astype(form)
                 found = [value[a:b].tobytes() for a, b in zip(sets.first[:-1], sets.first[1:])]
@@ -464,8 +466,17 @@ def link_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 def keep_one(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     """`docs` with one row of each component: that of the smallest doc_id.
 
-    Of rows that repeat this id all stay; rows without id stay.
+    Of rows that repeat this id the one with the smallest text stays (null first,
+    then any of equal ones); rows without id stay.
     """
     found = link_components(docs, k)
     gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    # Ids are narrow; whole rows move only where an id repeats.
+    ids = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n"))
+    twice = stage(ids.where("_n > 1").select("_id"), "repeated_ids")
+    if twice.isEmpty():
+        return kept
+    again = kept.join(twice, F.col("doc_id") == F.col("_id"), "left_semi")
+    first = again.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct("text")).alias("_row"))
+    return kept.join(twice, F.col("doc_id") == F.col("_id"), "left_anti").union(first.select("_row.*"))
