@@ -173,7 +173,7 @@ class LineIndex:
         """`docs` with n_lines, n_dropped and kept (the lines left, joined by \\n).
 
         A line goes if enough documents of the index hold its key and this is not
-        the largest of them. Null and empty texts are one empty line. Rows without
+        the largest of them; documents that the index does not have lose it, too. Null and empty texts are one empty line. Rows without
         id neither count nor lose lines; rows that repeat an id are one document.
         Other columns pass through whatever their names, carried as one struct;
         those named like an output are replaced.
@@ -222,7 +222,7 @@ class LineIndex:
             suspects = self._probed_by_shard(docs)
         suspects = stage(suspects.distinct(), "suspect_lines")
         repeated = stage(self.repeated(), "repeated_lines")
-        hits = suspects.join(repeated, ["high", "low"]).where(F.col("doc_id") < F.col("top"))
+        hits = suspects.join(repeated, ["high", "low"]).where(F.col("doc_id") != F.col("top"))
         return hits.groupBy("doc_id").agg(F.collect_list(F.struct("high", "low")).alias("keys"))
 
     def _probed_in_place(self, docs: DataFrame) -> DataFrame:
