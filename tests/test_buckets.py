@@ -45,6 +45,12 @@ def test_guard_has_no_exchange(spark, by_shuffle):
     assert "Exchange" not in first, plan
 
 
+def test_labelled_hashtags_meet_in_buckets(spark, by_shuffle):
+    """The only exchange is that of the counts at the end."""
+    plan = plan_of(queries.hashtags_bucketed(spark, SF))
+    assert plan.count("Exchange") == 1 and "LeftSemi" in plan
+
+
 def test_repeated_keys_have_a_defined_row(spark):
     """Whatever the order and the partitions, the same row of a repeated key stays."""
     rows = [(1, "b", 2), (1, "a", 9), (1, "a", 3), (2, None, 1), (2, "z", 0), (3, None, None)]

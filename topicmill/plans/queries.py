@@ -401,6 +401,15 @@ def topics_split(spark, sf_dir):
     return topics.split_all_topics(*_several_topics(spark, sf_dir)).select("topic", "tweet_id", "label", "split")
 
 
+def hashtags_bucketed(spark, sf_dir):
+    """Hashtags of labelled posts: posts and labels meet bucket by bucket."""
+    fact = write_bucketed(cleaned(spark, sf_dir).select("tweet_id", "create_time", "hashtag"), "post_hashtags", "tweet_id")
+    exploded = labelling.explode_hashtags(fact)
+    topical = write_bucketed(labelling.topical_ids(exploded, tags(spark, sf_dir)), "topical_ids", "tweet_id")
+    used = labelling.restrict_to_labelled(exploded, topical)
+    return used.groupBy("each_hashtag").agg(F.count("*").alias("use_count"))
+
+
 def leakage_bucketed(spark, sf_dir):
     """The guard on a table in buckets of id and split: nothing is exchanged."""
     split, ranked = _split_tables(spark, sf_dir)
@@ -615,14 +624,13 @@ def saved_model_scores(spark, sf_dir):
     tables = _tables(spark, sf_dir)
     slicer = learning.ChiSquareTopFeatures(numTopFeatures=200).fit(tables.combined)
     classifier = LogisticRegression(featuresCol="selected", regParam=0.1, maxIter=20).fit(slicer.transform(tables.combined))
-    path = stage_path(spark, "model")
-    whole = learning.save_chain(path, tables.model, slicer, classifier)
-    texts = staged_posts(spark, sf_dir)
-    before = learning.score_rows(whole.transform(texts), "tweet_id")
+    model, texts, scores = (stage_path(spark, name) for name in ("model", "cleaned_posts", "scores_again"))
+    whole = learning.save_chain(model, tables.model, slicer, classifier)
+    before = learning.score_rows(whole.transform(stage(cleaned(spark, sf_dir), "", texts)), "tweet_id")
     fresh = spark.newSession()
-    again = learning.load_chain(path).transform(fresh.read.parquet(texts.inputFiles()[0].rsplit("/", 1)[0]))
-    after = stage(learning.score_rows(again, "tweet_id").withColumnRenamed("score", "_score"), "scores_again")
-    joined = before.join(spark.read.schema(after.schema).parquet(after.inputFiles()[0].rsplit("/", 1)[0]), "tweet_id")
+    again = learning.load_chain(model).transform(fresh.read.parquet(texts))
+    stage(learning.score_rows(again, "tweet_id").withColumnRenamed("score", "_score"), "", scores)
+    joined = before.join(spark.read.parquet(scores), "tweet_id")
     return joined.select("tweet_id", (F.col("score") == F.col("_score")).alias("same_score"))
 
 
@@ -753,4 +761,5 @@ QUERIES = {
     "libsvm_roundtrip": libsvm_roundtrip,
     "saved_model_scores": saved_model_scores,
     "json_rescan": json_rescan,
+    "hashtags_bucketed": hashtags_bucketed,
 }
