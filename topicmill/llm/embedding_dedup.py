@@ -2,10 +2,14 @@
 
 A neighbour graph starts from random projections and is refined: at each node the
 neighbours (and sampled reverse neighbours) are compared with each other, and each
-keeps the best it has met. A list that is full of near-duplicates is enlarged. An
-audit compares a bounded sample of vectors with all others exactly; refinement
-goes on until the audit is passed or nothing changes. Edges of the graph that reach
-the threshold in double precision form the components.
+keeps the best it has met. A list that is full of near-duplicates is enlarged, up to
+`MOST_NEIGHBOURS`. Beyond that a list may hold its own group only and miss links to
+other groups; so groups with such lists are contracted to their centres, which go
+through the same descent, and neighbouring groups are searched for links between
+the members nearest to each other. An audit compares a bounded sample of vectors
+with all others exactly. Rounds go on until no component changes and the audit is
+passed; if it never is, that is an error. Edges that reach the threshold in double
+precision form the components.
 
 Direct links of large groups are counted without all pairs: with the angles a and
 b of two vectors to their component's centre, a + b within the threshold's angle
@@ -33,12 +37,16 @@ THRESHOLD = 0.9
 NEIGHBOURS = 10
 MOST_NEIGHBOURS = 64
 REVERSE = 6
-MOST_ROUNDS = 8
+MOST_ROUNDS = 12
 # Projections that start the graph, and vectors compared in one run of their order.
 TABLES, RUN = 4, 128
 # The audit's sample: this many vectors at most, whatever the table's size.
 AUDIT = 400
 RECALL = 0.97
+# Below this recall there is no result but an error.
+LEAST_RECALL = 0.9
+# Members of two neighbouring groups that are compared, nearest to the other group first.
+FACING = 32
 # Angle cells per right angle, and the margin that rounding may need.
 CELLS, MARGIN = 4096, 1e-6
 SEED = 31
@@ -65,11 +73,11 @@ def _units(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "id long, unit array<double>")
 
 
-def _nodes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
+def _nodes(vectors: DataFrame, id_col: str, vec_col: str, dims: int) -> tuple[DataFrame, DataFrame]:
     """Distinct vectors as (node, weight, unit), and (id, node) of valid rows.
 
     A node is the smallest id of its vector."""
-    rows = vectors.where(F.col(id_col).isNotNull() & valid_vector(F.col(vec_col)))
+    rows = vectors.where(F.col(id_col).isNotNull() & valid_vector(F.col(vec_col)) & (F.size(vec_col) == dims))
     rows = _units(rows.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col)))
     rows = rows.withColumns({f"_h{s}": F.xxhash64(F.lit(s), "unit") for s in (1, 2)})
     groups = rows.groupBy("_h1", "_h2").agg(F.min("id").alias("node"), F.count("*").alias("weight"))
@@ -216,6 +224,73 @@ def cosine(u: str, v: str) -> Column:
     return F.aggregate(F.zip_with(u, v, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def _dims(vectors: DataFrame, vec_col: str) -> int:
+    """The commonest length of valid vectors, of equally common ones the smallest."""
+    sizes = vectors.where(valid_vector(F.col(vec_col))).groupBy(F.size(vec_col).alias("n")).agg(F.count("*").alias("c"))
+    first = sizes.orderBy(F.desc("c"), "n").first()
+    return first["n"] if first else 0
+
+
+def _centres(inside: DataFrame, dims: int) -> DataFrame:
+    """(component, centre): normed sums of rows (component, unit), null for a sum of zero."""
+    sums = inside.groupBy("component").agg(*[F.sum(F.col("unit")[i]).alias(f"_{i}") for i in range(dims)])
+    centre = sums.select("component", F.array(*[F.col(f"_{i}") for i in range(dims)]).alias("_sum"))
+    centre = centre.withColumn("_norm", F.sqrt(F.aggregate("_sum", F.lit(0.0), lambda acc, x: acc + x * x)))
+    return centre.select("component", F.when(F.col("_norm") > 0, F.transform("_sum", lambda x: x / F.col("_norm"))).alias("centre"))
+
+
+def _angle(one: str, two: str) -> Column:
+    return F.acos(F.greatest(F.least(cosine(one, two), F.lit(1.0)), F.lit(-1.0)))
+
+
+def _bridges(nodes: DataFrame, graph: DataFrame, labels: DataFrame, threshold: float, neighbours: int, dims: int) -> DataFrame | None:
+    """Edges (src, dst, sim) between components whose members' lists are full of each
+    other; None where there is at most one such component."""
+    if not dims:
+        return None
+    full = graph.groupBy("src").agg(F.count("*").alias("held"), F.min("sim").alias("worst"))
+    full = full.where((F.col("held") >= MOST_NEIGHBOURS) & (F.col("worst") >= threshold)).select(F.col("src").alias("node"))
+    crowded = full.join(labels, "node").select("component").distinct()
+    inside = stage(nodes.join(labels, "node").join(crowded, "component", "left_semi"), "crowded_groups")
+    centres = _centres(inside, dims).where("centre is not null")
+    reach = inside.join(centres, "component").groupBy("component", "centre").agg(F.max(_angle("unit", "centre")).alias("radius"))
+    reach = stage(reach, "group_centres")
+    if reach.count() < 2:
+        return None
+    # The groups' own neighbour graph, by the same descent.
+    halves = _halves(reach.select(F.col("component").alias("node"), F.col("centre").alias("unit")))
+    near = stage(_kept(_start(halves, neighbours), None, neighbours), "group_neighbours")
+    for _ in range(2):
+        near = stage(_kept(near.union(_refined(near, halves, neighbours)), None, neighbours), "group_neighbours")
+    one = reach.select(F.col("component").alias("src"), F.col("centre").alias("u"), F.col("radius").alias("r"))
+    two = reach.select(F.col("component").alias("dst"), F.col("centre").alias("v"), F.col("radius").alias("q"))
+    pairs = near.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    close = pairs.join(one, "src").join(two, "dst").where(_angle("u", "v") <= F.lit(math.acos(threshold)) + F.col("r") + F.col("q") + MARGIN)
+    close = stage(close.select("src", "dst"), "close_groups")
+
+    # Of either group the members nearest to the other one's centre.
+    sides = close.select("src", "dst", F.col("src").alias("own"), F.col("dst").alias("other"))
+    sides = sides.union(close.select("src", "dst", F.col("dst").alias("own"), F.col("src").alias("other")))
+    members = inside.select(F.col("component").alias("own"), "node", "unit")
+    facing = sides.join(members, "own").join(reach.select(F.col("component").alias("other"), "centre"), "other")
+    facing = facing.withColumn("towards", cosine("unit", "centre"))
+    place = F.row_number().over(Window.partitionBy("src", "dst", "own").orderBy(F.desc("towards"), "node"))
+    facing = facing.withColumn("_p", place).where(F.col("_p") <= FACING)
+    pair = F.xxhash64("src", "dst").alias("pair")
+    rows = facing.select(pair, (F.col("own") == F.col("src")).alias("first"), "node", "unit")
+
+    def compare(batches):
+        for part in _groups(batches, 2 * FACING):
+            first = np.asarray(part.column(1).combine_chunks())
+            ids = np.asarray(part.column(2))
+            units = np.asarray(part.column(3).combine_chunks().values, np.float64).reshape(len(ids), -1)
+            sims = units[first] @ units[~first].T
+            row, col = np.nonzero(sims >= threshold - 0.01)
+            yield _edge_batch(ids[first][row], ids[~first][col], sims[row, col])
+
+    return rows.repartition("pair").sortWithinPartitions("pair", "first", "node").mapInArrow(compare, _EDGE)
+
+
 def audit(nodes: DataFrame, labels: DataFrame, threshold: float, sample: int) -> tuple[int, int]:
     """Links of sampled vectors by brute force, and how many of them lie within
     one component of `labels` (node, component)."""
@@ -254,12 +329,9 @@ def _link_counts(nodes: DataFrame, labels: DataFrame, threshold: float) -> DataF
     dims = inside.agg(F.max(F.size("unit"))).first()[0]
     if not dims:
         return inside.select("node", F.lit(0).cast("long").alias("links"))
-    sums = inside.groupBy("component").agg(*[F.sum(F.col("unit")[i]).alias(f"_{i}") for i in range(dims)])
-    centre = sums.select("component", F.array(*[F.col(f"_{i}") for i in range(dims)]).alias("_sum"))
-    centre = centre.withColumn("_norm", F.sqrt(F.aggregate("_sum", F.lit(0.0), lambda acc, x: acc + x * x)))
-    centre = centre.select("component", F.when(F.col("_norm") > 0, F.transform("_sum", lambda x: x / F.col("_norm"))).alias("centre"))
+    centre = _centres(inside, dims)
     # acos of a rounded cosine is good to some 1e-8 near 0; the margin covers it.
-    angle = F.coalesce(F.acos(F.greatest(F.least(cosine("unit", "centre"), F.lit(1.0)), F.lit(-1.0))), F.lit(math.pi / 2))
+    angle = F.coalesce(_angle("unit", "centre"), F.lit(math.pi / 2))
     placed = inside.join(centre, "component").select("component", "node", "weight", "unit", angle.alias("angle"))
     placed = stage(placed.withColumn("cell", F.floor(F.col("angle") * CELLS / (math.pi / 2))), "vector_angles")
     cells = placed.groupBy("component", "cell").agg(F.sum("weight").alias("w"))
@@ -301,14 +373,16 @@ def near_duplicates(
     """One row per row of `vectors`: id, n_links, component_id, kept.
 
     Vectors that are null, empty, zero or hold null or non-finite components link
-    with nothing. Rows that repeat an id are one vector each, with the id's
-    component. Rows without id link with nothing; their component is null and
-    they are kept. All vectors have one length. An empty table stays empty.
+    with nothing; neither do vectors of another length than most valid ones have.
+    Rows that repeat an id are one vector each, with the id's component. Rows
+    without id link with nothing; their component is null and they are kept. An
+    empty table stays empty. A recall below `LEAST_RECALL` in the audit is an error.
     """
-    nodes, members = _nodes(vectors, id_col, vec_col)
+    dims = _dims(vectors, vec_col)
+    nodes, members = _nodes(vectors, id_col, vec_col, dims)
     halves = _halves(nodes)
     graph = stage(_kept(_start(halves, neighbours), None, neighbours), "neighbours")
-    before = None
+    before, bridged = None, None
     for _ in range(MOST_ROUNDS):
         lists = graph.groupBy("src").agg(F.count("*").alias("held"), F.min("sim").alias("worst"))
         # Full of near-duplicates: the list may hold twice as many.
@@ -317,13 +391,28 @@ def near_duplicates(
         room = lists.select("src", F.when(full, larger).otherwise(F.greatest("held", F.lit(neighbours))).alias("room"))
         refined = graph.union(_refined(graph, halves, neighbours))
         graph = stage(_kept(refined, stage(room, "list_room"), neighbours), "neighbours")
-        labels = stage(components(_checked(graph, nodes, threshold)), "vector_components")
-        true, found = audit(nodes, labels, threshold, AUDIT)
+        linked = _checked(graph, nodes, threshold)
+        labels = stage(components(linked if bridged is None else linked.union(bridged)), "vector_components")
         now = labels.agg(F.count("*"), F.sum("component")).first()
-        # Done when the audit is passed and a round has changed no component.
-        if now == before and found >= least_recall * true:
+        changed, before = now != before, now
+        if changed:
+            continue
+        # Lists have settled: what may be missing are links between crowded groups.
+        edges = _bridges(nodes, graph, labels, threshold, neighbours, dims)
+        if edges is not None:
+            more = stage(_checked(edges, nodes, threshold), "group_links")
+            bridged = more if bridged is None else bridged.union(more)
+            labels = stage(components(linked.union(bridged)), "vector_components")
+            before = labels.agg(F.count("*"), F.sum("component")).first()
+            if before != now:
+                continue
+        true, found = audit(nodes, labels, threshold, AUDIT)
+        if found >= least_recall * true:
             break
-        before = now
+    else:
+        true, found = audit(nodes, labels, threshold, AUDIT)
+        if found < LEAST_RECALL * true:
+            raise RuntimeError(f"{found} of {true} links of sampled vectors found: recall below {LEAST_RECALL}")
     links = stage(_link_counts(nodes, labels, threshold), "vector_links")
     named = members.join(links, "node", "left").join(labels, "node", "left")
     named = named.select(
@@ -333,7 +422,7 @@ def near_duplicates(
         F.coalesce("component", "node").alias("component"),
     ).groupBy("_id").agg(F.max("links").alias("links"), F.min("component").alias("component"))
     own = F.col(id_col).cast("long")
-    good = valid_vector(F.col(vec_col))
+    good = valid_vector(F.col(vec_col)) & (F.size(vec_col) == dims)
     joined = vectors.select(F.col(id_col), F.when(good, own).alias("_key")).join(named, F.col("_key") == F.col("_id"), "left")
     component = F.coalesce("component", own)
     return joined.select(
