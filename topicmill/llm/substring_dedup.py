@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicmill.llm.common import RollingHash, Words, signed, slices
+from topicmill.llm.common import RollingHash, Words, shielded, signed, slices
 from topicmill.session import stage
 
 WINDOW = 50
@@ -137,11 +137,12 @@ def _merged(run, rows: int = 4000):
     return merged
 
 
-_WINDOWS = "w1 long, w2 long, doc_id long, text_key long, start int"
+_WINDOWS = "w1 long, w2 long, doc_id long, text_key long, starts array<int>"
 
 
 def _windows(packed: DataFrame, window: int) -> DataFrame:
-    """Unpacks super-k-mers into the hashes of their windows."""
+    """Unpacks super-k-mers into the hashes of their windows, each with where it
+    starts: one row for a window that a periodic text has again and again."""
 
     def run(batches):
         for batch in batches:
@@ -149,11 +150,19 @@ def _windows(packed: DataFrame, window: int) -> DataFrame:
                 words = Words(part.column(part.schema.get_field_index("packed")))
                 begin, row = words.windows(window)
                 hashes = [w.spans(words.hashes(h), begin, begin + window) for h, w in zip(_WORD_HASHES, _WINDOW_HASHES)]
-                rows = pa.array(row)
-                start = np.asarray(part.column(3))[row] + (begin - words.first[row])
+                if not len(row):
+                    continue
+                start = (np.asarray(part.column(3))[row] + (begin - words.first[row])).astype(np.int32)
+                doc, key = (np.asarray(part.column(i))[row] for i in (1, 2))
+                order = np.lexsort((start, key, doc, hashes[1], hashes[0]))
+                columns = [x[order] for x in (*hashes, doc, key)]
+                new = np.ones(len(order), bool)
+                new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in columns])
+                first = np.flatnonzero(new)
+                starts = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)).astype(np.int32)), pa.array(start[order]))
+                w1, w2, doc, key = (x[first] for x in columns)
                 yield pa.RecordBatch.from_arrays(
-                    [signed(hashes[0]), signed(hashes[1]), part.column(1).take(rows), part.column(2).take(rows), pa.array(start.astype(np.int32))],
-                    ["w1", "w2", "doc_id", "text_key", "start"],
+                    [signed(w1), signed(w2), pa.array(doc), pa.array(key), starts], ["w1", "w2", "doc_id", "text_key", "starts"]
                 )
 
     return packed.select("minimiser", "doc_id", "text_key", "start", "packed").mapInArrow(run, _WINDOWS)
@@ -176,13 +185,13 @@ def _later(sorted_windows: DataFrame) -> DataFrame:
                 least[: stop[0] + 1 if len(stop) else len(least)] = last[2]
             last = (w1[-1], w2[-1], least[-1])
             keep = pa.array(doc > least)
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (2, 3, 4)], ["doc_id", "text_key", "start"])
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (2, 3, 4)], ["doc_id", "text_key", "starts"])
 
-    return sorted_windows.mapInArrow(run, "doc_id long, text_key long, start int")
+    return sorted_windows.mapInArrow(run, "doc_id long, text_key long, starts array<int>")
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split_from: int = SPLIT_FROM) -> DataFrame:
-    """(doc_id, text_key, start) of windows that also start in a document with a
+    """(doc_id, text_key, starts) of windows that also start in a document with a
     smaller doc_id. `docs`: doc_id, text, text_key, no null doc_id."""
     parts = stage(_super_kmers(docs.where("text is not null").select("doc_id", "text", "text_key"), window, gram), "super_kmers")
     common = (
@@ -197,11 +206,14 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sp
     later = _later(bucketed)
 
     split = _windows(_packed(docs, shared.where(F.col("places") >= split_from), window), window)
-    least = split.groupBy(F.col("w1").alias("_1"), F.col("w2").alias("_2")).agg(F.min("doc_id").alias("_least"))
+    ends = split.groupBy(F.col("w1").alias("_1"), F.col("w2").alias("_2")).agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most"))
+    # Written: the planner splits a hot window only in a join of plain exchanges.
+    least = stage(ends.where("_least < _most").drop("_most"), "least_documents")
     joined = split.join(least, (F.col("w1") == F.col("_1")) & (F.col("w2") == F.col("_2")))
-    return later.union(joined.where("doc_id > _least").select("doc_id", "text_key", "start"))
+    return later.union(joined.where("doc_id > _least").select("doc_id", "text_key", "starts"))
 
 
+@shielded("doc_id", "text", made=("n_words", "n_removed", "kept"))
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split_from: int = SPLIT_FROM) -> DataFrame:
     """`docs` with n_words, n_removed and kept (the words left, joined by a space).
 
@@ -218,7 +230,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, spli
     starts = stage(
         repeated_windows(narrow, window, gram, split_from)
         .groupBy("doc_id", "text_key")
-        .agg(F.collect_set("start").alias("starts")),
+        .agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts")),
         "repeated_windows",
     )
     starts = starts.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "starts")
