@@ -3,11 +3,12 @@
 One classifier sees the text's content (hashed words), the other its metadata and
 layout (language, source, length, lines, kinds of characters). Both start from
 labelled documents; in each round either one labels the unlabelled documents that
-it is surest of, for the other one to learn from. Both are then calibrated on
-labelled documents held out so far, combined, and score every document.
+it is surest of, for the other one to learn from. Both are then calibrated and combined
+on scores of labelled documents by models that have not seen them, and score every
+document.
 
 Features are computed from whole texts where the text is read. Only samples of
-bounded size reach the driver: `LABELLED` labelled and `UNLABELLED` other
+bounded size reach the driver: by default `LABELLED` labelled and `UNLABELLED` other
 documents, chosen by a hash of the id, each as some hundred numbers.
 """
 
@@ -30,8 +31,12 @@ ROUNDS = 4
 # Share of the unlabelled sample that one view labels in a round.
 GIVEN = 0.05
 PENALTY = 1e-3
+# The least weight of the penalty, whatever the number of rows.
+LEAST_PENALTY = 0.3
 # Share of good documents that the threshold may cost on the held-out ones.
 LOST = 0.002
+# Parts of the labelled sample that are scored by models of the others.
+FOLDS = 4
 SEED = 41
 
 _WORD_HASH = RollingHash(41)
@@ -120,17 +125,26 @@ class Logistic:
     def _with_one(x: np.ndarray) -> np.ndarray:
         return np.hstack([x, np.ones((len(x), 1), x.dtype)])
 
-    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 6) -> Logistic:
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 12) -> Logistic:
         x = self._with_one(x.astype(np.float64))
-        ridge = np.full(x.shape[1], PENALTY * len(x))
+        ridge = np.full(x.shape[1], max(PENALTY * len(x), LEAST_PENALTY))
         ridge[-1] = 1e-6
+
+        def loss(weights: np.ndarray) -> float:
+            z = x @ weights
+            return float(np.logaddexp(0, z).sum() - y @ z + 0.5 * (ridge * weights) @ weights)
+
+        now = loss(self.weights)
         for _ in range(steps):
-            p = 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
+            p = _sigmoid(np.clip(x @ self.weights, -30, 30))
             slope = x.T @ (y - p) - ridge * self.weights
             curve = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + np.diag(ridge)
             move = np.linalg.solve(curve, slope)
-            self.weights = self.weights + move
-            if np.abs(move).max() < 1e-6:
+            # A whole step may overshoot where there are few rows.
+            while (then := loss(self.weights + move)) > now and np.abs(move).max() > 1e-6:
+                move = move / 2
+            self.weights, gain, now = self.weights + move, now - then, then
+            if gain < 1e-6 * (1 + abs(now)):
                 break
         return self
 
@@ -161,27 +175,15 @@ class QualityModel:
         return _sigmoid(np.clip(np.column_stack([own, both]), -30, 30))
 
 
-def co_train(
-    content: np.ndarray, metadata: np.ndarray, labels: np.ndarray, more: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS
-) -> QualityModel:
-    """Train on labelled rows (`labels` 0 or 1) and unlabelled ones (`more`).
-
-    A third of the labelled rows is held out for calibration, and a part of that
-    for the figures in `held_out`.
-    """
-    views = (content, metadata)
-    if len(set(labels.tolist())) < 2:
-        # Nothing to tell apart: every document gets the one label there is.
-        sure = 30.0 if len(labels) == 0 or labels[0] == 1 else -30.0
-        flat = tuple(np.append(np.zeros(v.shape[1]), sure) for v in views)
-        return QualityModel(flat, np.array([[1.0, 0.0]] * 2), np.array([0.5, 0.5, 0.0]), 0.5, {})
-    part = np.arange(len(labels)) % 6  # rows come in hash order
-    train, tune, test = part < 4, part == 4, part == 5
-    known = [[v[train]] for v in views]
-    given = [[labels[train].astype(np.float64)] for _ in views]
+def _co_trained(
+    views: tuple[np.ndarray, np.ndarray], labels: np.ndarray, more: tuple[np.ndarray, np.ndarray], rounds: int
+) -> list[Logistic]:
+    """The two views' classifiers after `rounds` of labelling for each other."""
+    known = [[v] for v in views]
+    given = [[labels.astype(np.float64)] for _ in views]
     left = [np.arange(len(more[0])) for _ in views]
     models = [Logistic(v.shape[1]) for v in views]
-    good_share = float(labels[train].mean())
+    good_share = float(labels.mean())
     for step in range(rounds + 1):
         for m, xs, ys in zip(models, known, given):
             m.fit(np.vstack(xs), np.concatenate(ys))
@@ -200,24 +202,78 @@ def co_train(
             known[pupil].append(more[pupil][pool[taken]])
             given[pupil].append(np.concatenate([np.zeros(len(bad)), np.ones(len(good))]))
             left[pupil] = np.delete(pool, taken)
-    logits = [m.logit(v) for m, v in zip(models, views)]
-    calibration = np.array([Logistic(1).fit(z[tune, None], labels[tune]).weights for z in logits])
-    own = np.stack([a * z + b for (a, b), z in zip(calibration, logits)], axis=1)
-    combined = Logistic(2).fit(own[tune], labels[tune]).weights
-    model = QualityModel(tuple(m.weights for m in models), calibration, combined, 0.5, {})
-    both = model.scores(content, metadata)[:, 2]
-    kept_good = np.sort(both[tune & (labels == 1)])
-    if len(kept_good):
-        model.threshold = float(min(0.5, kept_good[int(LOST * len(kept_good))]))
-    wrong = (both >= model.threshold) != (labels == 1)
-    good, bad = test & (labels == 1), test & (labels == 0)
-    model.held_out = {
-        "rows": int(test.sum()),
-        "accuracy": float(1 - wrong[test].mean()) if test.any() else None,
-        "good_kept": float(1 - wrong[good].mean()) if good.any() else None,
-        "bad_rejected": float(1 - wrong[bad].mean()) if bad.any() else None,
+    return models
+
+
+def _smoothed(labels: np.ndarray) -> np.ndarray:
+    """Targets a little inside 0 and 1, the more so the fewer rows a class has, so
+    that a calibration on few rows stays finite."""
+    n_good, n_bad = (labels == 1).sum(), (labels == 0).sum()
+    return np.where(labels == 1, (n_good + 1) / (n_good + 2), 1 / (n_bad + 2))
+
+
+def _calibrated(logits: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slope and offset of each view, and how both are combined."""
+    targets = _smoothed(labels)
+    calibration = np.array([Logistic(1).fit(z[:, None], targets).weights for z in logits.T])
+    own = np.stack([a * z + b for (a, b), z in zip(calibration, logits.T)], axis=1)
+    return calibration, Logistic(2).fit(own, targets).weights
+
+
+def _combined(logits: np.ndarray, calibration: np.ndarray, combined: np.ndarray) -> np.ndarray:
+    own = np.stack([a * z + b for (a, b), z in zip(calibration, logits.T)], axis=1)
+    return _sigmoid(np.clip(own @ combined[:-1] + combined[-1], -30, 30))
+
+
+def _threshold(scores: np.ndarray, labels: np.ndarray) -> float:
+    """The score that costs about `LOST` of the good rows, half at most. One good row
+    may be lost besides: of few rows, the lowest says nothing about the others."""
+    good = np.sort(scores[labels == 1])
+    return float(min(0.5, good[min(len(good) - 1, int(LOST * len(good)) + 1)]))
+
+
+def co_train(
+    content: np.ndarray, metadata: np.ndarray, labels: np.ndarray, more: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS
+) -> QualityModel:
+    """Train on labelled rows (`labels` 0 or 1) and unlabelled ones (`more`).
+
+    Calibration, combination and threshold are fitted on scores that models of the
+    other folds give to each labelled row, so all labelled rows serve them and none
+    is scored by a model that has seen it. The figures in `held_out` use a
+    calibration and a threshold of the other folds as well.
+    """
+    views = (content, metadata)
+    fold = np.empty(len(labels), np.int64)
+    for label in (0, 1):  # rows come in hash order; each fold gets its share of either label
+        fold[labels == label] = np.arange((labels == label).sum()) % FOLDS
+    fewest = min((labels == label).sum() for label in (0, 1))
+    if fewest == 0 or len(labels) < 2 * FOLDS or fewest < 2:
+        # Too little to tell good from bad: every document gets the commoner label.
+        sure = 30.0 if len(labels) == 0 or labels.mean() >= 0.5 else -30.0
+        flat = tuple(np.append(np.zeros(v.shape[1]), sure) for v in views)
+        return QualityModel(flat, np.array([[1.0, 0.0]] * 2), np.array([0.5, 0.5, 0.0]), 0.5, {})
+    logits = np.zeros((len(labels), 2))
+    for k in range(FOLDS):
+        others = _co_trained(tuple(v[fold != k] for v in views), labels[fold != k], more, rounds)
+        for i, (m, v) in enumerate(zip(others, views)):
+            logits[fold == k, i] = m.logit(v[fold == k])
+    calibration, combined = _calibrated(logits, labels)
+    threshold = _threshold(_combined(logits, calibration, combined), labels)
+
+    wrong = np.zeros(len(labels), bool)
+    for k in range(FOLDS):
+        here = fold == k
+        fitted = _calibrated(logits[~here], labels[~here])
+        least = _threshold(_combined(logits[~here], *fitted), labels[~here])
+        wrong[here] = (_combined(logits[here], *fitted) >= least) != (labels[here] == 1)
+    held_out = {
+        "rows": len(labels),
+        "accuracy": float(1 - wrong.mean()),
+        "good_kept": float(1 - wrong[labels == 1].mean()),
+        "bad_rejected": float(1 - wrong[labels == 0].mean()),
     }
-    return model
+    models = _co_trained(views, labels, more, rounds)
+    return QualityModel(tuple(m.weights for m in models), calibration, combined, threshold, held_out)
 
 
 def _features(rows: DataFrame) -> DataFrame:
@@ -233,18 +289,19 @@ def _features(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, quality int, content binary, metadata binary")
 
 
-def train(docs: DataFrame, labels: DataFrame) -> QualityModel:
-    """Fit on samples of `docs` (doc_id, text, lang, source) and `labels`.
+def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> QualityModel:
+    """Fit on samples of `docs` (doc_id, text, lang, source) and `labels`: at most
+    `labelled` documents with a label, and `unlabelled` ones without to label each other.
 
     Labels: quality 0 or 1 per doc_id, others are ignored; of several for one
     document the lowest counts. Rows without id aren't used.
     """
     known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     rank = F.xxhash64("doc_id", F.lit(SEED))
-    some = known.orderBy(rank, "doc_id").limit(LABELLED)
+    some = known.orderBy(rank, "doc_id").limit(labelled)
     rest = docs.select("doc_id").where("doc_id is not null").distinct().join(known, "doc_id", "left_anti")
-    other = rest.orderBy(rank, "doc_id").limit(UNLABELLED).select("doc_id", F.lit(None).cast("int").alias("quality"))
-    chosen = some.union(other)  # at most LABELLED + UNLABELLED rows
+    other = rest.orderBy(rank, "doc_id").limit(unlabelled).select("doc_id", F.lit(None).cast("int").alias("quality"))
+    chosen = some.union(other)  # at most labelled + unlabelled rows
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source").join(F.broadcast(chosen), "doc_id")
     found = _features(wanted.select("doc_id", "quality", "text", "lang", "source"))
     # A bounded number of rows; repeated ids count once.
