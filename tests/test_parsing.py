@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from topicmill.operators import parsing
+from topicmill.plans import queries
 from topicmill.schema import POST_COLUMNS
 from topicmill.sources import partition_counts, read_posts_json, read_raw_lines, spread
 from topicmill.sources.posts import scan_bytes
@@ -138,3 +139,17 @@ def test_typed_posts_and_json_lines(spark, tmp_path):
     again = read_posts_json(spark, str(tmp_path / "out"))
     assert again.collect() == typed.collect()
     assert again.select(F.col("tweet_id")).schema[0].dataType.typeName() == "string"
+
+
+def test_filters_write_and_parse_a_line_once(spark, tmp_path):
+    """Pushed below the projection that writes it, a filter would write it again."""
+    docs = [(i, f"a wonderfully unremarkable text {i}", "en", "web") for i in range(9)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    events = spark.createDataFrame([(i, 7, "view") for i in range(6)], "event_id long, user_id long, event_type string")
+    events.selectExpr("event_id", "timestamp_ntz'2020-01-01' as ts", "user_id", "event_type").write.parquet(f"{tmp_path}/events.parquet")
+    for query in (queries.filter_min_keys, queries.filter_lang):
+        found = query(spark, str(tmp_path))
+        assert {r.tweet_id for r in found.collect()} == {"0", "5", "6", "7", "8"}
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert not [x for x in plan.splitlines() if "Filter" in x[:40] and "StructsToJson" in x]
+        assert plan.count("from_json") == 1
