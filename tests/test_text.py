@@ -105,3 +105,13 @@ def test_created_at(spark, stamp, expected, zone):
         assert tuple(month) == ("2013-01", "2013-02")
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_text_is_cleaned_once(spark):
+    """Each step of the cleaning stands in the plan once, and cuts begin at the first mark."""
+    rows = [("É a@ann #x b@@annann http://u.v/#x #x!", "ann ann", "x"), ("no marks", "ann", "x"), ("@x", None, "x"), ("#x", "y", None), (None, "a", "b")]
+    df = spark.createDataFrame(rows, "term string, mention string, hashtag string")
+    found = df.select(clean_term().alias("term"))
+    assert [r.term for r in found.collect()] == ["a b", "no marks", "x", "x", "empty_tweet"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("https?") == 1
