@@ -107,3 +107,12 @@ def test_cost_does_not_grow_with_kept_features(spark):
 def test_rank_by_is_checked():
     with pytest.raises(ValueError):
         ChiSquareTopFeatures(rankBy="luck")
+
+
+def test_columns_nothing_reads_are_pruned(spark, tmp_path):
+    rows = [("a", "long text", Vectors.sparse(4, [1, 3], [1.0, 2.0])), ("b", "other text", Vectors.dense([0.0, 0.0, 5.0, 7.0]))]
+    spark.createDataFrame(rows, ["tweet_id", "term", "features"]).write.parquet(str(tmp_path / "t"))
+    slicer = SelectedFeatures(indices=[2, 3])
+    found = slicer.transform(spark.read.parquet(str(tmp_path / "t"))).select("tweet_id", "selected")
+    assert {r.tweet_id: r.selected.toArray().tolist() for r in found.collect()} == {"a": [0.0, 2.0], "b": [5.0, 7.0]}
+    assert "term" not in found._jdf.queryExecution().executedPlan().toString()
