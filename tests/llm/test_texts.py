@@ -143,6 +143,32 @@ def test_decontaminate(spark, docs, texts):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
+def test_decontaminate_long_items(spark):
+    """Anchors more than 64 words apart, and letters that only A-Z rules leave alone."""
+    draw = random.Random(4)
+    item = [f"w{draw.randrange(60)}" for _ in range(200)]
+    texts = [" ".join(item[a : a + n]) for a, n in ((0, 200), (3, 10), (64, 9), (130, 12), (70, 80))]
+    texts += [" ".join(item[60:66] + item[124:140]), "A " + " ".join(item[150:160]).upper() + " Z", "\u0130 \u00c4B\u00c4 " + " ".join(item[20:31])]
+    windows = {tuple(item[a : a + 10]) for a in range(191)}
+    expected = {}
+    for i, t in enumerate(texts):
+        w = bench_words(t)
+        hit = {p for a in range(len(w) - 9) if tuple(w[a : a + 10]) in windows for p in range(a, a + 10)}
+        expected[i] = (len(w), len(hit))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {r.doc_id: (r.n_words, r.n_hit) for r in decontamination.decontaminate(docs, bench).collect()}
+    assert found == expected and [i for i in found if found[i][1] == 0] == [2]
+
+
+def test_alignments_are_met_in_numbers(spark):
+    """What grows with the corpus is aggregated in numbers, not in arrays; words need no lambda."""
+    docs = spark.createDataFrame([(1, 0, "a b c d")], "_k1 long, _k2 long, text string")
+    anchors = spark.createDataFrame([(7, 0, 1, "b")], "item long, start int, place int, term string")
+    plan = decontamination._alignments(docs, anchors)._jdf.queryExecution().executedPlan().toString()
+    assert "bit_or" in plan and "collect_set" not in plan and "ObjectHashAggregate" not in plan and "lambda w" not in plan
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "cat x x dog"), (2, "dog y cat"), (3, "cat " + "x " * 30 + "dog")], "doc_id long, text string")
     keyed = docs.withColumns({"_k1": F.col("doc_id"), "_k2": F.lit(0).cast("long")})
